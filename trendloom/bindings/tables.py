@@ -10,6 +10,7 @@ from trendloom.functions.scalars import timestamp_to_epoch
 from trendloom.functions.text import Term
 from trendloom.operators.versions import latest_by_key
 from trendloom.session import configure
+from trendloom.sources.spread import spread_small
 
 # The dictionary over part names, and one over real words in four languages.
 PART_TERMS = [
@@ -40,7 +41,7 @@ REGEX_TERMS = [
 ]
 FOCUS_TERMS = [t for t in PART_TERMS if t.category == fv.FOCUS_CATEGORY]
 SALT = "weathervane"
-RUN_DATE = "2001-10-15"
+RUN_DATE = "2001-11-06"
 
 # newest version of a line: the version column, then every other column as a tie-break
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -61,8 +62,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """A table with costly work per row ahead, shared out over the cores if it is small."""
+    return spread_small(table(spark, folder, name), f"{folder}/{name}.parquet", *keys)
+
+
 def current_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_by_key(table(spark, folder, "lineitem"), LINE_KEYS, [F.col(c).desc() for c in LINE_ORDER])
+    lines = spread_table(spark, folder, "lineitem", *LINE_KEYS)
+    return latest_by_key(lines, LINE_KEYS, [F.col(c).desc() for c in LINE_ORDER])
 
 
 def landed_comments(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,7 +147,7 @@ def post_json(spark: SparkSession, folder: str) -> DataFrame:
     customer = F.col("o_custkey")
     created = timestamp_to_epoch(F.col("o_orderdate"))
     later = F.when(F.col("o_orderstatus") == "P", F.when(customer % 2 == 0, "deleted").otherwise(""))
-    return table(spark, folder, "orders").select(
+    return spread_table(spark, folder, "orders").select(
         F.to_json(
             F.struct(
                 F.col("o_orderkey").cast("string").alias("id"),
@@ -165,7 +172,7 @@ def comment_json(spark: SparkSession, folder: str) -> DataFrame:
     """Line items, all versions, as raw JSON objects of comments."""
     order = F.col("l_orderkey").cast("string")
     created = timestamp_to_epoch(F.col("l_shipdate"))
-    return table(spark, folder, "lineitem").select(
+    return spread_table(spark, folder, "lineitem").select(
         F.to_json(
             F.struct(
                 F.concat_ws("-", order, F.col("l_linenumber").cast("string")).alias("id"),
@@ -186,7 +193,7 @@ def comment_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_objects(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON objects of posts, with their UTC day."""
-    events = table(spark, folder, "events")
+    events = spread_table(spark, folder, "events")
     return events.select(
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
         "event_id",
@@ -201,7 +208,12 @@ def event_objects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# objects per JSON array, which bounds what one group gathers: event ids are unique
+ARRAY_LENGTH = 100_000
+
+
 def event_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """The same objects as JSON arrays of at most 1,000: event ids are unique."""
-    chunks = event_objects(spark, folder).groupBy("day", F.floor(F.col("event_id") / 1000).alias("chunk"))
-    return chunks.agg(F.to_json(F.collect_list("object")).alias("value")).select("day", "value")
+    """The same objects as JSON arrays of one day each, split where a day holds very many."""
+    chunk = F.floor(F.col("event_id") / ARRAY_LENGTH).alias("chunk")
+    arrays = event_objects(spark, folder).groupBy("day", chunk).agg(F.collect_list("object").alias("objects"))
+    return arrays.select("day", F.to_json("objects").alias("value"))

@@ -34,10 +34,20 @@ def grain_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def unaccepted(column: str, values: Sequence[str]) -> Column:
+    """Neither NULL nor in the list."""
+    return F.col(column).isNotNull() & ~F.col(column).isin(*values)
+
+
+def null_unexplained(column: str, flag: str) -> Column:
+    """NULL although the flag that would explain it is not set; a NULL flag explains nothing."""
+    return F.col(column).isNull() & ~F.coalesce(F.col(flag), F.lit(False))
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Values outside the list and how often each occurs; NULL passes."""
     return (
-        df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+        df.where(unaccepted(column, values))
         .groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("rows"))
     )
@@ -63,7 +73,7 @@ def outside_percent(df: DataFrame, model: str, key: Column, columns: Sequence[st
 
 def null_without_flag(df: DataFrame, key: str, column: str, flag: str) -> DataFrame:
     """Rows whose column is NULL although the flag that would explain it is not set."""
-    return df.where(F.col(column).isNull() & ~F.coalesce(F.col(flag), F.lit(False))).select(key)
+    return df.where(null_unexplained(column, flag)).select(key)
 
 
 def freshness(

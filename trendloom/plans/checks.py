@@ -1,12 +1,15 @@
-"""The data tests of all models, and one report over them."""
+"""The data tests of all models, and one report over them.
+
+Tests on single rows are counted together, one pass per model, however many there are.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom import fixed_values as fv
@@ -14,7 +17,17 @@ from trendloom.operators import quality
 from trendloom.operators.joins import never_found, orphans
 
 
-class DataTest(NamedTuple):
+class RowTest(NamedTuple):
+    """Fails for each row of the model that meets the condition."""
+
+    name: str
+    model: str
+    fails: Column
+
+
+class SetTest(NamedTuple):
+    """Fails for each row of the frame: duplicates, orphans and the like."""
+
     name: str
     severity: str
     violations: DataFrame
@@ -69,72 +82,88 @@ GRAINS = {
     "mart_tool_mentions_by_month": ["month", "tool"],
     "mart_tool_share_change": ["tool", "measure"],
 }
+SHARES = ["first_share_pct", "last_share_pct"]
 
 
 def share_violations(ai_change: DataFrame, tool_change: DataFrame) -> DataFrame:
     """Share columns outside 0 to 100 in both change marts, tagged with the model."""
-    shares = ["first_share_pct", "last_share_pct"]
     tool_key = F.concat("tool", F.lit(" / "), "measure")
-    return quality.outside_percent(ai_change, "ai_share_change", F.col("measure"), shares).unionByName(
-        quality.outside_percent(tool_change, "tool_share_change", tool_key, shares)
+    return quality.outside_percent(ai_change, "ai_share_change", F.col("measure"), SHARES).unionByName(
+        quality.outside_percent(tool_change, "tool_share_change", tool_key, SHARES)
     )
 
 
-def data_tests(
-    models: dict[str, DataFrame],
-    window_months: int = fv.WINDOW_MONTHS,
-    expected_terms: Sequence[str] = fv.MULTI_WORD_TOOLS,
-) -> list[DataTest]:
-    """All 50 tests: 37 declared per column and 13 assertions. ``models`` includes ``tools``."""
+def row_tests() -> list[RowTest]:
     tests = [
-        DataTest(f"not_null {model}.{column}", "error", models[model].where(F.col(column).isNull()).select(column))
+        RowTest(f"not_null {model}.{column}", model, F.col(column).isNull())
         for model, columns in NOT_NULL.items()
         for column in columns
     ]
-    tests += [DataTest(f"unique {m}.{c}", "error", quality.unique(models[m], c)) for m, c in UNIQUE.items()]
     tests += [
-        DataTest(f"accepted_values {m}.{c}", "error", quality.accepted_values(models[m], c, values))
-        for m, c, values in ACCEPTED_VALUES
+        RowTest(f"accepted_values {model}.{column}", model, quality.unaccepted(column, values))
+        for model, column, values in ACCEPTED_VALUES
     ]
     tests += [
-        DataTest(f"relationships {m}.{c}", severity, orphans(models[m], c, models[parent], key))
-        for m, c, parent, key, severity in RELATIONSHIPS
+        RowTest(
+            "title within total",
+            "mart_tool_mentions_by_month",
+            F.col("posts_mentioning_in_title") > F.col("posts_mentioning"),
+        ),
+        RowTest("null body means removed", "stg_comments", quality.null_unexplained("body", "is_body_removed")),
     ]
+    return tests
+
+
+def set_tests(
+    models: dict[str, DataFrame],
+    window_months: int = fv.WINDOW_MONTHS,
+    expected_terms: Sequence[str] = fv.MULTI_WORD_TOOLS,
+) -> list[SetTest]:
+    tests = [SetTest(f"unique {m}.{c}", "error", quality.unique(models[m], c)) for m, c in UNIQUE.items()]
     tests += [
-        DataTest(f"grain {m}", "error", quality.grain_unique(models[m], keys)) for m, keys in GRAINS.items()
+        SetTest(f"relationships {m}.{c}", severity, orphans(models[m], c, models[parent], key))
+        for m, c, parent, key, severity in RELATIONSHIPS
     ]
-    by_month = models["mart_tool_mentions_by_month"]
+    tests += [SetTest(f"grain {m}", "error", quality.grain_unique(models[m], keys)) for m, keys in GRAINS.items()]
     tests += [
-        DataTest("window size", "error", quality.window_size(models["dim_comparison_windows"], window_months)),
-        DataTest(
-            "title within total",
-            "error",
-            quality.exceeds(by_month, "posts_mentioning_in_title", "posts_mentioning", ["month", "tool"]),
-        ),
-        DataTest(
+        SetTest("window size", "error", quality.window_size(models["dim_comparison_windows"], window_months)),
+        SetTest(
             "shares are percentages",
             "error",
             share_violations(models["mart_ai_share_change"], models["mart_tool_share_change"]),
         ),
-        DataTest(
-            "null body means removed",
-            "error",
-            quality.null_without_flag(models["stg_comments"], "comment_id", "body", "is_body_removed"),
-        ),
-        DataTest(
+        SetTest(
             "multi-word tools found", "error", never_found(models["fct_post_tool_mentions"], "tool", expected_terms)
         ),
     ]
     return tests
 
 
-def report(tests: Iterable[DataTest]) -> DataFrame:
-    """One row per test: failing rows and ``pass``, ``warn`` or ``error``."""
-    counted = [
-        t.violations.agg(F.count("*").alias("failures")).select(
-            F.lit(t.name).alias("test"), F.lit(t.severity).alias("severity"), "failures"
-        )
-        for t in tests
-    ]
-    rows = reduce(DataFrame.unionByName, counted)
+def _result(name: str, severity: str, failures: Column) -> Column:
+    return F.struct(F.lit(name).alias("test"), F.lit(severity).alias("severity"), failures.alias("failures"))
+
+
+def _count_row_tests(df: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
+    counted = df.agg(*[F.count_if(test.fails).alias(f"n{i}") for i, test in enumerate(tests)])
+    results = F.array(*[_result(test.name, "error", F.col(f"n{i}")) for i, test in enumerate(tests)])
+    return counted.select(F.explode(results).alias("r")).select("r.*")
+
+
+def report(
+    models: dict[str, DataFrame],
+    window_months: int = fv.WINDOW_MONTHS,
+    expected_terms: Sequence[str] = fv.MULTI_WORD_TOOLS,
+) -> DataFrame:
+    """One row per test of all 50: failing rows, and ``pass``, ``warn`` or ``error``.
+
+    ``models`` holds staging, facts and marts by name, and the dictionary as ``tools``.
+    """
+    by_model: dict[str, list[RowTest]] = {}
+    for test in row_tests():
+        by_model.setdefault(test.model, []).append(test)
+    parts = [_count_row_tests(models[model], tests) for model, tests in by_model.items()]
+    for test in set_tests(models, window_months, expected_terms):
+        counted = test.violations.agg(F.count("*").alias("n"))
+        parts.append(counted.select(_result(test.name, test.severity, F.col("n")).alias("r")).select("r.*"))
+    rows = reduce(DataFrame.unionByName, parts)
     return rows.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity")))

@@ -1,8 +1,10 @@
-"""The rebuild: freshness gate, matched items, facts, marts, data tests."""
+"""The rebuild: freshness gate, matched items, facts, marts."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +13,19 @@ from trendloom import fixed_values as fv
 from trendloom.functions.text import Term, check_terms
 from trendloom.operators.quality import freshness, require_fresh
 from trendloom.operators.windows import comparison_windows, distinct_months
-from trendloom.plans import checks, facts, marts
+from trendloom.plans import facts, marts
 from trendloom.plans.staging import clean_comments, clean_posts
 from trendloom.sources.tables import current_state, overwrite_table
 from trendloom.sources.terms import term_frame
 
 
+def store_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Store independent tables side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        stored = pool.map(lambda item: overwrite_table(item[1], f"{folder}/{item[0]}"), tables.items())
+        return dict(zip(tables, stored, strict=True))
+
+
 def store_models(
     matched_posts: DataFrame,
     matched_comments: DataFrame,
@@ -25,45 +34,39 @@ def store_models(
     window_months: int = fv.WINDOW_MONTHS,
     focus: str = fv.FOCUS_CATEGORY,
 ) -> dict[str, DataFrame]:
-    """Store matched items, facts and marts below a folder; each is read back from its table.
+    """Store matched items, then facts and monthly marts, then the change marts.
 
     The matched items are the only tables computed from text. Facts and marts are narrow scans
     over them, and everything from the monthly marts on is small.
     """
     terms = check_terms(terms)
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        return overwrite_table(df, f"{folder}/{name}")
-
-    posts = store("matched_posts", matched_posts)
-    comments = store("matched_comments", matched_comments)
-    models = {
-        "fct_post_tool_mentions": store("fct_post_tool_mentions", facts.post_tool_mentions(posts)),
-        "fct_comment_tool_mentions": store("fct_comment_tool_mentions", facts.comment_tool_mentions(comments)),
-        "fct_posts": store("fct_posts", facts.posts_fact(posts, focus)),
-    }
-    windows = store("dim_comparison_windows", comparison_windows(distinct_months(posts, "posted_at"), window_months))
-    by_tool = store("mart_tool_mentions_by_month", marts.tool_mentions_by_month(posts, terms))
-    by_comment_tool = store(
-        "mart_comment_tool_mentions_by_month", marts.comment_tool_mentions_by_month(comments, terms)
+    matched = store_tables({"matched_posts": matched_posts, "matched_comments": matched_comments}, folder)
+    posts, comments = matched["matched_posts"], matched["matched_comments"]
+    fact = facts.posts_fact(posts, focus)
+    models = store_tables(
+        {
+            "fct_post_tool_mentions": facts.post_tool_mentions(posts),
+            "fct_comment_tool_mentions": facts.comment_tool_mentions(comments),
+            "fct_posts": fact,
+            "dim_comparison_windows": comparison_windows(distinct_months(posts, "posted_at"), window_months),
+            "mart_tool_mentions_by_month": marts.tool_mentions_by_month(posts, terms),
+            "mart_comment_tool_mentions_by_month": marts.comment_tool_mentions_by_month(comments, terms),
+            "mart_ai_share_by_flair_month": marts.ai_share_by_flair_month(fact),
+            "mart_ai_share_by_month": marts.ai_share_by_month(fact, comments, focus),
+        },
+        folder,
     )
-    by_flair = store("mart_ai_share_by_flair_month", marts.ai_share_by_flair_month(models["fct_posts"]))
-    by_month = store("mart_ai_share_by_month", marts.ai_share_by_month(models["fct_posts"], comments, focus))
-    models |= {
-        "dim_comparison_windows": windows,
-        "mart_tool_mentions_by_month": by_tool,
-        "mart_comment_tool_mentions_by_month": by_comment_tool,
-        "mart_ai_share_by_flair_month": by_flair,
-        "mart_ai_share_by_month": by_month,
-        "mart_ai_share_change": store("mart_ai_share_change", marts.ai_share_change(by_month, windows)),
-        "mart_tool_share_change": store(
-            "mart_tool_share_change", marts.tool_share_change(by_tool, by_comment_tool, windows, focus)
-        ),
-        "mart_ai_share_by_flair_window": store(
-            "mart_ai_share_by_flair_window", marts.ai_share_by_flair_window(by_flair, windows)
+    windows = models["dim_comparison_windows"]
+    by_tool = models["mart_tool_mentions_by_month"]
+    by_comment_tool = models["mart_comment_tool_mentions_by_month"]
+    changes = {
+        "mart_ai_share_change": marts.ai_share_change(models["mart_ai_share_by_month"], windows),
+        "mart_tool_share_change": marts.tool_share_change(by_tool, by_comment_tool, windows, focus),
+        "mart_ai_share_by_flair_window": marts.ai_share_by_flair_window(
+            models["mart_ai_share_by_flair_month"], windows
         ),
     }
-    return models
+    return models | store_tables(changes, folder)
 
 
 def rebuild(
@@ -101,16 +104,7 @@ def rebuild(
     }
 
 
-def data_test_report(
-    models: dict[str, DataFrame], window_months: int = fv.WINDOW_MONTHS, expected: Sequence[str] = fv.MULTI_WORD_TOOLS
-) -> DataFrame:
-    return checks.report(checks.data_tests(models, window_months, expected))
-
-
 def row_counts(models: dict[str, DataFrame]) -> DataFrame:
     """Rows per model."""
     counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("model"), "rows") for n, df in models.items()]
-    total = counts[0]
-    for part in counts[1:]:
-        total = total.unionByName(part)
-    return total
+    return reduce(DataFrame.unionByName, counts)

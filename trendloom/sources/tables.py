@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +32,13 @@ def append_raw(landed: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("created_month").parquet(path)
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every loaded version of every item."""
-    return spark.read.parquet(path)
+def read_versions(spark: SparkSession, *paths: str) -> DataFrame:
+    """Every loaded version of every item, from one raw table or several.
+
+    A table a stream writes is read by the stream's own log, so batch loads go to a table of
+    their own; the newest version is the same wherever it was loaded.
+    """
+    return reduce(DataFrame.unionByName, [spark.read.parquet(path) for path in paths])
 
 
 def current_state(versions: DataFrame) -> DataFrame:
