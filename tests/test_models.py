@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from forum import COMMENTS, POSTS
 from trendloom.operators import quality
 from trendloom.operators.quality import StaleSourceError, author_columns
-from trendloom.plans import checks, facts, marts, pipeline, serving, staging
+from trendloom.plans import checks, facts, marts, serving, staging
+from trendloom.plans import rebuild as builds
 from trendloom.sources.landing import land_comments, land_posts
 from trendloom.sources.raw_files import scan_raw
 from trendloom.sources.tables import current_state
@@ -39,7 +40,7 @@ def raw(spark, tmp_path_factory):
 def models(spark, raw, tmp_path_factory):
     posts, comments = raw
     folder = str(tmp_path_factory.mktemp("models"))
-    return pipeline.rebuild(
+    return builds.rebuild(
         spark, posts.where("id <> 'p12'").unionByName(posts.where("id = 'p12'").withColumn(
             "created_utc", F.lit("2024-04-30 12:00:00").cast("timestamp_ntz"))),
         comments, shipped_terms(), folder, "salt", NOW, window_months=1,
@@ -216,7 +217,7 @@ def test_matching_before_the_dedup_gives_the_same_items(raw):
 def test_a_stale_source_stops_the_rebuild(spark, raw, tmp_path):
     posts, comments = raw
     with pytest.raises(StaleSourceError, match="posts"):
-        pipeline.rebuild(spark, posts, comments, shipped_terms(), str(tmp_path / "m"), "salt", "2024-06-01 00:00:00")
+        builds.rebuild(spark, posts, comments, shipped_terms(), str(tmp_path / "m"), "salt", "2024-06-01 00:00:00")
     assert list(tmp_path.iterdir()) == []
 
 

@@ -66,7 +66,7 @@ def test_stored_raw_text_is_not_read_again(spark, tmp_path):
 def test_months_days_and_times_prune_the_scan(spark, tmp_path):
     path = str(tmp_path / "months")
     orders = spark.read.parquet(f"{FOLDER}/orders.parquet").withColumnRenamed("o_orderdate", "created_utc")
-    tables.append_raw(orders, path)
+    tables.append_raw(orders, path, gather_months=True)
     text = plan(tables.read_versions(spark, path).where("created_month = date'1996-03-01'"))
     assert re.search(r"PartitionFilters: \[[^\]]*created_month", text)
 
@@ -78,6 +78,11 @@ def test_months_days_and_times_prune_the_scan(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*day", plan(raw_files.scan_lines(spark, days, "2024-01-02")))
 
 
+def test_a_load_of_day_files_is_not_shuffled(spark, day_files):
+    raw = raw_files.scan_raw(spark, day_files("posts", {"2024-01-01": [{"id": "a"}]}))
+    assert "Exchange" not in plan(with_created_month(land_posts(raw)))
+
+
 def test_columns_are_pruned_to_what_a_mart_needs(spark):
     text = plan(entry.queries()["monthly_counts"](spark, FOLDER))
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in text

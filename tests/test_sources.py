@@ -45,15 +45,23 @@ def test_a_range_of_days_is_inclusive_and_may_have_gaps(spark, day_files, monkey
 
 
 def test_days_are_pruned_by_file_name(spark, day_files):
-    raw = raw_files.scan_arrays(spark, day_files("posts", POSTS), "2024-02-05")
-    assert len(raw.inputFiles()) == 4
+    raw = raw_files.scan_text_arrays(spark, day_files("posts", POSTS), "2024-02-05")
+    assert raw.count() == 4
     plan = raw._jdf.queryExecution().executedPlan().toString()
-    assert "file_name" in plan
+    assert "file_name" in plan.split("FileScan text")[1]
+
+
+def test_only_oversized_files_are_streamed(spark, day_files, monkeypatch):
+    folder = day_files("posts", POSTS)
+    sizes = sorted(r.length for r in spark.read.format("binaryFile").load(folder).select("length").collect())
+    monkeypatch.setattr(raw_files, "MAX_TEXT_FILE_BYTES", sizes[1])
+    assert ids(raw_files.scan_text_arrays(spark, folder)) != ids(raw_files.scan_raw(spark, folder))
+    assert ids(raw_files.scan_raw(spark, folder)) == sorted(p["id"] for day in POSTS.values() for p in day)
 
 
 def test_large_files_keep_every_field(spark, day_files):
     folder = day_files("posts", POSTS)
-    large = {json.loads(r.raw)["id"]: json.loads(r.raw) for r in raw_files.scan_large_arrays(spark, folder).collect()}
+    large = {json.loads(r.raw)["id"]: json.loads(r.raw) for r in raw_files.scan_streamed_arrays(spark, [folder]).collect()}
     for objects in POSTS.values():
         for wanted in objects:
             found = large[wanted["id"]]

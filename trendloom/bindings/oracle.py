@@ -153,6 +153,11 @@ CTES = {
     "positions": """
         SELECT month, row_number() OVER (ORDER BY month) AS month_number, count(*) OVER () AS month_count
         FROM months""",
+    "priority_posts": """
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, title,
+               title || ' ' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE lower(o_orderstatus) END AS whole
+        FROM (SELECT *, lower(CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN '' WHEN '2-HIGH' THEN '1-URGENT'
+                              ELSE o_orderpriority END) AS title FROM orders)""",
     "windows": """
         SELECT month, CASE WHEN month_number - 1 <= 6 THEN 'first' ELSE 'last' END AS period FROM positions
         WHERE month_number > 1 AND month_number < month_count
@@ -375,6 +380,15 @@ _BODIES = {
     ),
     "post_tool_mentions": "SELECT * FROM post_mentions",
     "comment_tool_mentions": "SELECT * FROM comment_mentions",
+    "mentions_from_versions": " UNION ALL ".join(
+        f"""SELECT month, {_text(x.tool)} AS tool, {_text(x.category)} AS category, a AS posts_mentioning,
+               b AS posts_mentioning_in_title, n AS posts_in_month, {_pct("a", "n")} AS share_pct,
+               {_pct("b", "n")} AS title_share_pct
+        FROM (SELECT month, count(*) AS n, count(*) FILTER ({_hit("whole", x)}) AS a,
+                     count(*) FILTER ({_hit("whole", x)} AND {_hit("title", x)}) AS b
+              FROM priority_posts GROUP BY month)"""
+        for x in t.PRIORITY_TERMS
+    ),
     "posts_fact": "SELECT * FROM f_posts",
     "posts_fact_from_mentions": "SELECT * FROM f_posts",
     "monthly_counts": """

@@ -11,7 +11,8 @@ from trendloom import fixed_values as fv
 from trendloom.bindings import tables as t
 from trendloom.functions import scalars
 from trendloom.operators import joins, mentions, quality, reconcile, versions, windows
-from trendloom.plans import checks, facts, marts, pipeline, serving, staging
+from trendloom.plans import checks, facts, marts, serving, staging
+from trendloom.plans import rebuild as builds
 from trendloom.session import new_folder
 from trendloom.sources import landing, raw_files, tables, terms
 from trendloom.streaming.day_files import stream_day_files
@@ -53,7 +54,7 @@ def idempotent_reload(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "posts")
     raw = t.post_json(spark, folder)
     for stamp in (LOAD_1, LOAD_2):
-        tables.append_raw(landing.land_posts(raw, stamp), path)
+        tables.append_raw(landing.land_posts(raw, stamp), path, gather_months=True)
     current = tables.current_state(tables.read_versions(spark, path))
     return current.select("id", "title", "score", "created_utc", "created_month", F.col("_loaded_at").alias("loaded_at"))
 
@@ -62,7 +63,7 @@ def idempotent_reload(spark: SparkSession, folder: str) -> DataFrame:
 def month_partition_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "months")
     orders = t.table(spark, folder, "orders").withColumnRenamed("o_orderdate", "created_utc")
-    tables.append_raw(orders, path)
+    tables.append_raw(orders, path, gather_months=True)
     return tables.read_versions(spark, path).select("o_orderkey", "created_utc", "created_month")
 
 
@@ -358,6 +359,18 @@ def posts_fact_from_mentions(spark: SparkSession, folder: str) -> DataFrame:
     return facts.posts_fact_from_mentions(stored, facts.post_tool_mentions(stored))
 
 
+@query
+def mentions_from_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw posts loaded twice, then with changed titles: matched first, resolved afterwards."""
+    path = new_folder(spark, "posts")
+    raw = t.post_json(spark, folder)
+    changed = raw.withColumn("raw", F.regexp_replace("raw", "2-HIGH", "1-URGENT"))
+    for stamp, load in ((LOAD_1, raw), (LOAD_2, changed)):
+        tables.append_raw(landing.land_posts(load, stamp), path, gather_months=True)
+    matched = facts.match_post_versions(tables.read_versions(spark, path), t.PRIORITY_TERMS)
+    return marts.tool_mentions_by_month(matched, t.PRIORITY_TERMS)
+
+
 # --- marts --------------------------------------------------------------------------
 
 
@@ -597,7 +610,7 @@ def freshness_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stored_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return pipeline.store_models(
+    return builds.store_models(
         _matched_posts(spark, folder), _matched_comments(spark, folder), t.PART_TERMS, new_folder(spark, "models")
     )
 
@@ -605,7 +618,7 @@ def _stored_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 @query
 def mart_chain(spark: SparkSession, folder: str) -> DataFrame:
     """All facts and marts stored in dependency order; rows of each."""
-    return pipeline.row_counts(_stored_models(spark, folder))
+    return builds.row_counts(_stored_models(spark, folder))
 
 
 @query

@@ -39,6 +39,13 @@ REGEX_TERMS = [
     Term("ACCENT", "french", "é[a-z]+"),
     Term("UN", "french", "une?", "un[a-z]? (la|le)"),
 ]
+# over the priorities that stand in for titles of raw posts; two patterns meet title and body
+PRIORITY_TERMS = [
+    Term("Urgent", "ai", "urgent"),
+    Term("High", "level", "high"),
+    Term("Low then O", "level", "low o"),
+    Term("Medium", "level", "medium|medium p", "medium o"),
+]
 FOCUS_TERMS = [t for t in PART_TERMS if t.category == fv.FOCUS_CATEGORY]
 SALT = "weathervane"
 RUN_DATE = "2001-11-06"

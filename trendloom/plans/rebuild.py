@@ -104,6 +104,34 @@ def rebuild(
     }
 
 
+STORED = (
+    "matched_posts",
+    "matched_comments",
+    "fct_post_tool_mentions",
+    "fct_comment_tool_mentions",
+    "fct_posts",
+    "dim_comparison_windows",
+    "mart_tool_mentions_by_month",
+    "mart_comment_tool_mentions_by_month",
+    "mart_ai_share_by_flair_month",
+    "mart_ai_share_by_month",
+    "mart_ai_share_change",
+    "mart_tool_share_change",
+    "mart_ai_share_by_flair_window",
+)
+
+
+def open_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The stored models of the last rebuild."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in STORED}
+
+
+def publish_views(models: dict[str, DataFrame]) -> None:
+    """Name the models in the session, so that they can be queried with SQL."""
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+
+
 def row_counts(models: dict[str, DataFrame]) -> DataFrame:
     """Rows per model."""
     counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("model"), "rows") for n, df in models.items()]

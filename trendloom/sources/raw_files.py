@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-# A file read as one text value must fit a JVM array, with room for its parsed copy.
-MAX_TEXT_FILE_BYTES = 512 * 1024 * 1024
+# Day files up to this size are read as one text value, which a task holds with its parsed
+# copy; larger ones are parsed as a stream.
+MAX_TEXT_FILE_BYTES = 128 * 1024 * 1024
 
 
 def explode_json_array(df: DataFrame, array_text: str, name: str = "raw") -> DataFrame:
@@ -34,44 +35,52 @@ def slice_days(df: DataFrame, moment: str, start: str, end: str | None = None) -
     return df.where((F.col(moment) >= first) & (F.col(moment) < after))
 
 
-def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
-    return files.load(folder).select("path", "length")
+def _day(file_name: Column) -> Column:
+    return F.regexp_extract(file_name, r"(\d{4}-\d{2}-\d{2})[^/]*$", 1)
 
 
-def scan_arrays(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Raw JSON text of every object in ``{folder}/{YYYY-MM-DD}.json``, or of a range of days.
+def _name_in_range(start: str | None, end: str | None) -> Column:
+    """A range of days as a range of file names, which prunes files before they are read.
 
-    A JSON array cannot be split, so a file is one task. The day is taken from the file name,
-    which Spark prunes at planning: a day without a file is simply absent. Files too large to
-    hold as one text are read by ``scan_large_arrays``.
+    ``~`` sorts after whatever may follow the day in a name.
+    """
+    return F.lit(True) if start is None else F.col("_metadata.file_name").between(start, (end or start) + "~")
+
+
+def scan_text_arrays(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Verbatim JSON text of every object in day files of moderate size.
+
+    A JSON array cannot be split, so a file is one task.
     """
-    day = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d{2}-\d{2})", 1)
-    # a comparison on the bare file name is what prunes files: '.' sorts before '~'
-    name = F.col("_metadata.file_name")
-    chosen = F.lit(True) if start is None else name.between(start, (end or start) + "~")
     files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
-    return explode_json_array(files.where(chosen).select(day.alias("day"), "value"), "value")
+    chosen = files.where(_name_in_range(start, end) & (F.col("_metadata.file_size") <= MAX_TEXT_FILE_BYTES))
+    return explode_json_array(chosen.select(_day(F.col("_metadata.file_name")).alias("day"), "value"), "value")
 
 
-def scan_large_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """As ``scan_arrays`` for files of any size: the array is parsed as a stream of rows.
+def scan_streamed_arrays(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Objects of day files of any size: each array is parsed as a stream of rows.
 
     The raw text is written again from all fields found, so it keeps every field but not the
     spacing of the original.
     """
-    objects = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
-    day = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d{2}-\d{2})", 1)
+    objects = spark.read.option("multiLine", True).json(paths)
     everything = F.struct(*[F.col(f"`{c}`") for c in objects.columns])
-    return objects.select(day.alias("day"), F.to_json(everything, {"ignoreNullFields": "false"}).alias("raw"))
+    return objects.select(
+        _day(F.col("_metadata.file_name")).alias("day"),
+        F.to_json(everything, {"ignoreNullFields": "false"}).alias("raw"),
+    )
 
 
 def scan_raw(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Raw objects of a kind's folder, reading over-long day files as a stream."""
-    longest = file_sizes(spark, folder).agg(F.max("length")).first()[0] or 0
-    if longest <= MAX_TEXT_FILE_BYTES:
-        return scan_arrays(spark, folder, start, end)
-    return scan_large_arrays(spark, folder).where(in_day_range(F.col("day"), start, end))
+    """Raw objects of ``{folder}/{YYYY-MM-DD}.json``: every file, one day, or a range of days.
+
+    A day without a file is simply absent.
+    """
+    raw = scan_text_arrays(spark, folder, start, end)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
+    large = files.where(F.col("length") > MAX_TEXT_FILE_BYTES).where(in_day_range(_day(F.col("path")), start, end))
+    paths = [row.path for row in large.select("path").collect()]  # one short row per oversized file
+    return raw.unionByName(scan_streamed_arrays(spark, paths)) if paths else raw
 
 
 def scan_lines(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:

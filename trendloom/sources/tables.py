@@ -22,13 +22,16 @@ def newest_first() -> list[Column]:
     return [F.col(c).desc() for c in NEWEST_FIRST]
 
 
-def append_raw(landed: DataFrame, path: str) -> None:
+def append_raw(landed: DataFrame, path: str, gather_months: bool = False) -> None:
     """Append a load to a month-partitioned raw table; repeating a load changes no result.
 
-    The rebalance hint gathers a month's rows into few files and splits a month that holds
-    most of them.
+    Day files come in order of time, so a task writes to a month or two and nothing is
+    shuffled. ``gather_months`` is for rows in no such order: it brings a month's rows into few
+    files, and splits a month that holds most of them.
     """
-    rows = with_created_month(landed).hint("rebalance", F.col("created_month"))
+    rows = with_created_month(landed)
+    if gather_months:
+        rows = rows.hint("rebalance", F.col("created_month"))
     rows.write.mode("append").partitionBy("created_month").parquet(path)
 
 
@@ -64,7 +67,8 @@ def write_day_slices(rows: DataFrame, path: str, force: bool = False) -> None:
     """
     present = None if force else days_present(rows.sparkSession, path)
     if present is not None:
-        rows = rows.join(present, "day", "left_anti")
+        # one row per calendar day, however many rows a day has
+        rows = rows.join(F.broadcast(present), "day", "left_anti")
     rows = rows.select("day", F.col("raw").alias("value")).hint("rebalance", F.col("day"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").text(path)
 
@@ -78,4 +82,4 @@ def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> D
     """Store a model, replacing the last build, and read it back."""
     writer = df.hint("rebalance", F.col(partition)).write.partitionBy(partition) if partition else df.write
     writer.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
