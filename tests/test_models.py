@@ -214,6 +214,23 @@ def test_matching_before_the_dedup_gives_the_same_items(raw):
     assert sorted(map(str, early.collect())) == sorted(map(str, late.collect()))
 
 
+def test_only_new_loads_are_matched(spark, raw, tmp_path):
+    posts, terms, folder = raw[0], shipped_terms(), str(tmp_path / "matched")
+    first = posts.where("_loaded_at = timestamp_ntz'2024-05-01 00:00:00'")
+    changed = posts.where("_loaded_at = timestamp_ntz'2024-05-02 00:00:00'").withColumn(
+        "title", F.when(F.col("id") == "p12", "Trino cost").otherwise(F.col("title"))
+    )
+    assert builds.update_matched(first, facts.match_each_post, terms, folder).count() == 12
+    both = first.unionByName(changed)
+    matched = builds.update_matched(both, facts.match_each_post, terms, folder)
+    assert matched.count() == 24
+    assert builds.update_matched(both, facts.match_each_post, terms, folder).count() == 24
+    direct = facts.match_post_versions(both, terms)
+    assert sorted(map(str, facts.newest_posts(matched).collect())) == sorted(map(str, direct.collect()))
+    fewer = builds.update_matched(both, facts.match_each_post, terms[:3], folder)
+    assert fewer.count() == 24 and matched.count() == 24
+
+
 def test_a_stale_source_stops_the_rebuild(spark, raw, tmp_path):
     posts, comments = raw
     with pytest.raises(StaleSourceError, match="posts"):

@@ -69,6 +69,16 @@ def test_large_files_keep_every_field(spark, day_files):
             assert {k: v for k, v in found["_meta"].items() if v is not None} == wanted["_meta"]
 
 
+@pytest.mark.parametrize("limit", [10, 10_000])
+def test_a_broken_day_file_is_an_error(spark, day_files, monkeypatch, limit):
+    folder = day_files("posts", {"2024-01-01": [{"id": "a"}]})
+    with open(f"{folder}/2024-01-02.json", "w") as file:
+        file.write('[{"id": "b"}, {"id": ')
+    monkeypatch.setattr(raw_files, "MAX_TEXT_FILE_BYTES", limit)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        raw_files.scan_raw(spark, folder).collect()
+
+
 def test_missing_fields_land_as_defaults_and_null_stays_null(spark):
     raw = spark.createDataFrame([("{}",), ('{"id": "x", "title": null, "score": 3}',), ("not json",)], "raw string")
     rows = land_posts(raw, "2024-01-01 00:00:00").collect()

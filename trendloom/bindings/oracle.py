@@ -486,6 +486,8 @@ _BODIES = {
     "dq_report": _report(),
 }
 
+_BODIES["mentions_incremental"] = _BODIES["mentions_from_versions"]
+
 CTES["ranked"] = """
     SELECT tool, is_ai, change_pts, row_number() OVER (PARTITION BY is_ai ORDER BY change_pts DESC, tool) AS up,
            row_number() OVER (PARTITION BY is_ai ORDER BY change_pts, tool) AS down

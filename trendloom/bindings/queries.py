@@ -371,6 +371,19 @@ def mentions_from_versions(spark: SparkSession, folder: str) -> DataFrame:
     return marts.tool_mentions_by_month(matched, t.PRIORITY_TERMS)
 
 
+@query
+def mentions_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The same two loads, each matched on its own as it comes in."""
+    path, matched_folder = new_folder(spark, "posts"), new_folder(spark, "matched")
+    raw = t.post_json(spark, folder)
+    changed = raw.withColumn("raw", F.regexp_replace("raw", "2-HIGH", "1-URGENT"))
+    for stamp, load in ((LOAD_1, raw), (LOAD_2, changed)):
+        tables.append_raw(landing.land_posts(load, stamp), path, gather_months=True)
+        stored = tables.read_versions(spark, path)
+        matched = builds.update_matched(stored, facts.match_each_post, t.PRIORITY_TERMS, matched_folder)
+    return marts.tool_mentions_by_month(facts.newest_posts(matched), t.PRIORITY_TERMS)
+
+
 # --- marts --------------------------------------------------------------------------
 
 

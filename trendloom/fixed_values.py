@@ -68,6 +68,9 @@ DEFAULT_PICKED_TOOLS = ["AI (general)", "Spark", "Airflow", "dbt"]
 MAX_PICKED_TOOLS = 4
 CURRENT_MONTH_MARK = " (so far)"
 TOP_MOVERS = 3
+FOCUS_RISING = "AI tools rising fastest"
+OTHERS_RISING = "Other tools rising most"
+OTHERS_FALLING = "Other tools falling most"
 
 # Months per comparison window.
 WINDOW_MONTHS = 6

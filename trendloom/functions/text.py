@@ -12,6 +12,7 @@ regex runs. Both screens can only let too much through, so the result stays exac
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -66,6 +67,11 @@ def check_terms(terms: Iterable[Term]) -> list[Term]:
     return terms
 
 
+def dictionary_key(terms: Iterable[Term]) -> str:
+    """Short name of a dictionary's content."""
+    return hashlib.sha256(repr(sorted(map(tuple, terms), key=repr)).encode()).hexdigest()[:16]
+
+
 def _screenable(term: Term) -> list[str] | None:
     if term.exclude_pattern and not phrases(term.exclude_pattern):
         return None

@@ -55,6 +55,7 @@ def rebuild_models(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         os.environ["TRENDLOOM_SALT"],
         args.now,
         args.window_months,
+        args.matched,
     )
     report = checks.report(models, args.window_months)
     rows = report.collect()  # one row per test
@@ -95,6 +96,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--posts", nargs="+", required=True, help="raw tables")
     job.add_argument("--comments", nargs="+", required=True, help="raw tables")
     job.add_argument("--models", required=True, help="folder for the models")
+    job.add_argument("--matched", help="folder that keeps matched versions, so that only new loads are matched")
     job.add_argument("--terms", help="dictionary CSV; the shipped one if omitted")
     job.add_argument("--window-months", type=int, default=fv.WINDOW_MONTHS)
     job.add_argument("--now", default=now, help="UTC time the freshness is measured at")

@@ -45,27 +45,42 @@ def match_comments(comments: DataFrame, terms: Iterable[Term]) -> DataFrame:
     return found.select(*COMMENT_COLUMNS, "mentions")
 
 
-def match_post_versions(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
-    """Matched posts straight from the raw versions.
-
-    Every version is matched where it is read, and only the narrow result is shuffled to find
-    the newest one: the text, nearly all of the bytes, never leaves its task.
-    """
+def match_each_post(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
+    """Every raw version matched where it is read: narrow rows, without text, nothing shuffled."""
     staged = clean_posts(versions, "", *NEWEST_FIRST)
     found = with_mentions(staged, post_text(F.col("title"), F.col("body")), terms, title="title")
-    narrow = found.select(*POST_COLUMNS, "mentions", *NEWEST_FIRST)
-    return latest_by_key(narrow, ["post_id"], newest_first()).select(*POST_COLUMNS, "mentions")
+    return found.select(*POST_COLUMNS, "mentions", *NEWEST_FIRST)
 
 
-def match_comment_versions(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
-    """As ``match_post_versions``; bots and removed texts drop out after the newest is known."""
+def match_each_comment(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
+    """As ``match_each_post``, with what decides whether the newest version counts."""
     staged = clean_comments(versions, "", *NEWEST_FIRST).withColumn("has_text", F.col("body").isNotNull())
     found = with_mentions(staged, F.col("body"), terms)
-    narrow = found.select(*COMMENT_COLUMNS, "is_automoderator", "has_text", "mentions", *NEWEST_FIRST)
-    newest = latest_by_key(narrow, ["comment_id"], newest_first())
+    return found.select(*COMMENT_COLUMNS, "is_automoderator", "has_text", "mentions", *NEWEST_FIRST)
+
+
+def newest_posts(matched_versions: DataFrame) -> DataFrame:
+    """Matched posts from matched versions."""
+    return latest_by_key(matched_versions, ["post_id"], newest_first()).select(*POST_COLUMNS, "mentions")
+
+
+def newest_comments(matched_versions: DataFrame) -> DataFrame:
+    """Matched comments; bots and removed texts drop out after the newest version is known."""
+    newest = latest_by_key(matched_versions, ["comment_id"], newest_first())
     return newest.where(~F.col("is_automoderator") & F.col("has_text")).select(*COMMENT_COLUMNS, "mentions")
 
 
+def match_post_versions(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
+    """Matched posts straight from the raw versions.
+
+    Only the narrow result of matching is shuffled to find the newest version: the text, nearly
+    all of the bytes, never leaves its task.
+    """
+    return newest_posts(match_each_post(versions, terms))
+
+
+def match_comment_versions(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
+    return newest_comments(match_each_comment(versions, terms))
 
 
 def post_tool_mentions(matched_posts: DataFrame) -> DataFrame:

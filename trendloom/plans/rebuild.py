@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom import fixed_values as fv
-from trendloom.functions.text import Term, check_terms
+from trendloom.functions.text import Term, check_terms, dictionary_key
 from trendloom.operators.quality import freshness, require_fresh
 from trendloom.operators.windows import comparison_windows, distinct_months
 from trendloom.plans import facts, marts
 from trendloom.plans.staging import clean_comments, clean_posts
-from trendloom.sources.tables import current_state, overwrite_table
+from trendloom.sources.tables import current_state, load_if_present, overwrite_table
 from trendloom.sources.terms import term_frame
 
 
@@ -69,6 +69,28 @@ def store_models(
     return models | store_tables(changes, folder)
 
 
+def update_matched(
+    versions: DataFrame,
+    match_each: Callable[[DataFrame, list[Term]], DataFrame],
+    terms: Iterable[Term],
+    folder: str,
+) -> DataFrame:
+    """Match the versions loaded since the last run, append them, and return all matched versions.
+
+    What was matched is kept per dictionary, so a changed dictionary matches everything anew.
+    Loads have to be finished before: rows are told apart by their load stamp. Old files are
+    skipped by the stamp's range in each file.
+    """
+    terms = check_terms(terms)
+    spark, path = versions.sparkSession, f"{folder}/{dictionary_key(terms)}"
+    known = load_if_present(spark.read.format("parquet"), path)
+    newest = known.agg(F.max("_loaded_at").cast("string")).first()[0] if known is not None else None
+    if newest is not None:
+        versions = versions.where(F.col("_loaded_at") > F.lit(newest).cast("timestamp_ntz"))
+    match_each(versions, terms).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def rebuild(
     spark: SparkSession,
     post_versions: DataFrame,
@@ -78,10 +100,12 @@ def rebuild(
     salt: str,
     now: str,
     window_months: int = fv.WINDOW_MONTHS,
+    matched_folder: str | None = None,
 ) -> dict[str, DataFrame]:
     """From raw versions to marts; raises before anything is written when a source is stale.
 
-    Staging stays a view: it is named here, for the data tests, but never stored.
+    With ``matched_folder`` only versions loaded since the last rebuild are matched; without,
+    all are. Staging stays a view: it is named here, for the data tests, but never stored.
     """
     terms = check_terms(terms)
     require_fresh(
@@ -89,13 +113,13 @@ def rebuild(
             freshness(comment_versions, "created_utc", "comments", now)
         )
     )
-    models = store_models(
-        facts.match_post_versions(post_versions, terms),
-        facts.match_comment_versions(comment_versions, terms),
-        terms,
-        folder,
-        window_months,
-    )
+    if matched_folder is None:
+        posts = facts.match_each_post(post_versions, terms)
+        comments = facts.match_each_comment(comment_versions, terms)
+    else:
+        posts = update_matched(post_versions, facts.match_each_post, terms, f"{matched_folder}/posts")
+        comments = update_matched(comment_versions, facts.match_each_comment, terms, f"{matched_folder}/comments")
+    models = store_models(facts.newest_posts(posts), facts.newest_comments(comments), terms, folder, window_months)
     return {
         "stg_posts": clean_posts(current_state(post_versions), salt),
         "stg_comments": clean_comments(current_state(comment_versions), salt),

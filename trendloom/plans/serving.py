@@ -138,9 +138,9 @@ def digest_movers(tool_change: DataFrame, top: int = fv.TOP_MOVERS) -> DataFrame
         )
 
     sections = F.array(
-        entry(F.col("is_ai"), "AI tools rising fastest", "up"),
-        entry(~F.col("is_ai"), "Other tools rising most", "up"),
-        entry(~F.col("is_ai"), "Other tools falling most", "down"),
+        entry(F.col("is_ai"), fv.FOCUS_RISING, "up"),
+        entry(~F.col("is_ai"), fv.OTHERS_RISING, "up"),
+        entry(~F.col("is_ai"), fv.OTHERS_FALLING, "down"),
     )
     return (
         placed.select(F.explode(F.array_compact(sections)).alias("s"), "tool", "change_pts")

@@ -12,8 +12,8 @@ MAX_TEXT_FILE_BYTES = 128 * 1024 * 1024
 
 
 def explode_json_array(df: DataFrame, array_text: str, name: str = "raw") -> DataFrame:
-    """One row of raw JSON text per element of a top-level JSON array."""
-    elements = F.from_json(F.col(array_text), ArrayType(StringType()))
+    """One row of raw JSON text per element of a top-level JSON array; a broken one is an error."""
+    elements = F.from_json(F.col(array_text), ArrayType(StringType()), {"mode": "FAILFAST"})
     kept = [c for c in df.columns if c != array_text]
     return df.select(*kept, F.explode(elements).alias(name))
 
@@ -63,7 +63,7 @@ def scan_streamed_arrays(spark: SparkSession, paths: list[str]) -> DataFrame:
     The raw text is written again from all fields found, so it keeps every field but not the
     spacing of the original.
     """
-    objects = spark.read.option("multiLine", True).json(paths)
+    objects = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(paths)
     everything = F.struct(*[F.col(f"`{c}`") for c in objects.columns])
     return objects.select(
         _day(F.col("_metadata.file_name")).alias("day"),

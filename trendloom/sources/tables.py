@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.operators.versions import latest_by_key
@@ -49,14 +49,21 @@ def current_state(versions: DataFrame) -> DataFrame:
     return latest_by_key(versions, ["id"], newest_first())
 
 
-def days_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """Days that already have a slice, from the listing alone; None before the first write."""
+def load_if_present(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The rows at a path, or None before its first write."""
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return reader.load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+def days_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """Days that already have a slice, from the listing alone; None before the first write."""
+    files = load_if_present(spark.read.format("binaryFile").option("recursiveFileLookup", True), path)
+    if files is None:
+        return None
     return files.select(F.regexp_extract("path", r"/day=([^/]+)/", 1).alias("day")).distinct()
 
 
