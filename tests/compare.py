@@ -29,6 +29,19 @@ def plain(value):
     return f"{type(value).__name__}:{value}"
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "smallint": "SMALLINT",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def bag(columns, rows) -> tuple[list[str], Counter]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), Counter(tuple(plain(row[i]) for i in order) for row in rows)
@@ -43,6 +56,10 @@ def difference(df, db, sql: str) -> str:
     wanted_names, wanted = bag([d[0] for d in cursor.description], theirs)
     if names != wanted_names:
         return f"columns {names} against {wanted_names}"
+    types = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
+    wanted_types = {d[0]: str(d[1]) for d in cursor.description}
+    if types != wanted_types:
+        return f"types {sorted(set(types.items()) ^ set(wanted_types.items()))}"
     if ours != wanted:
         only_ours, only_theirs = ours - wanted, wanted - ours
         return (
@@ -68,7 +85,6 @@ if __name__ == "__main__":
         try:
             df = queries[name](spark, folder)
             problem = difference(df, db, oracle[name]) if name in oracle else "no SQL"
-            rows = ""
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(problem)
