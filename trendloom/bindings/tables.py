@@ -80,8 +80,12 @@ def current_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landed_comments(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as landed comments; the part name is the text."""
-    lines = current_lines(spark, folder)
+    """Line items as landed comments; the part name is the text.
+
+    The posts join drops lines without an order; saying so here too makes the newest lines one
+    subplan, which a query over posts and comments then shuffles once.
+    """
+    lines = current_lines(spark, folder).where(F.col("l_orderkey").isNotNull())
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     post = F.concat(F.lit(fv.POST_PREFIX), F.col("l_orderkey").cast("string"))
     first_reply = F.concat(F.lit(fv.COMMENT_PREFIX), F.col("l_orderkey").cast("string"), F.lit("-1"))

@@ -35,6 +35,7 @@ def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)

@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # below this much per core, moving the rows costs less than leaving cores idle
 SMALL_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
 def spread_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
-    """Repartition rows read from ``path`` over all cores, if its files are small.
+    """Repartition rows read from ``path`` over all cores, if it is a few small files.
 
-    A small file is one row group and so one task, whatever follows the scan. Large inputs have
-    many more splits than there are cores, and stay as they are scanned. The size is taken from
-    the file listing.
+    A small file is one row group and so one task, whatever follows the scan. With a file per
+    core, or large files, there are enough tasks, and the rows stay as they are scanned. Only
+    the file listing is looked at.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0
-    if size > cores * SMALL_BYTES_PER_CORE:
+    sizes = [row.length for row in files.select("length").limit(cores).collect()]
+    if len(sizes) == cores or sum(sizes) > cores * SMALL_BYTES_PER_CORE:
         return df
     return df.repartition(cores, *keys)
