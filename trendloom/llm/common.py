@@ -46,3 +46,22 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 def in_fold(doc_id: Column, folds: int, held: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == held, F.lit(False))
+
+
+def labelled_sample(labels: DataFrame, id: str, label: str, most: int, seed: str) -> DataFrame:
+    """About ``most`` labelled ids, half of each label as far as there are: ``__id``, ``__label``, ``__weight``.
+
+    Ids are chosen by a hash of the id, so a rerun chooses the same; the weight undoes the choice of
+    more rows of one label. Ids with two labels count with the larger one. Null ids and null labels
+    are left out. The result has a bounded size, whatever the size of the table.
+    """
+    rows = labels.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{label}`").cast("int").alias("__label"))
+    rows = rows.where("__id IS NOT NULL AND __label IN (0, 1)").groupBy("__id").agg(F.max("__label").alias("__label"))
+    counts = {r["__label"]: r["n"] for r in rows.groupBy("__label").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64(F.lit(seed), "__id"), F.lit(1 << 30)) / float(1 << 30)
+    chosen, weight = F.lit(False), F.lit(1.0)
+    for value, n in counts.items():
+        share = min(1.0, most / 2 / n)
+        chosen = chosen | ((F.col("__label") == value) & (draw < share))
+        weight = F.when(F.col("__label") == value, F.lit(1 / share)).otherwise(weight)
+    return rows.where(chosen).withColumn("__weight", weight)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import mixing, warc
+from trendloom.llm import factorise, mixing, rules, warc
+from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +25,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op5_quality_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    machine = factorise.train(docs, table(spark, folder, "labels"))
+    scores = factorise.scored(docs, machine)
+    return scores.select("doc_id", in_fold(F.col("doc_id"), factorise.FOLDS, factorise.HELD).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return rules.judged(docs, rules.train(docs, table(spark, folder, "labels")))
+
+
 @query
 def op9_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     warc.register(spark)
