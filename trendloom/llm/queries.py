@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import factorise, mixing, rules, warc
+from trendloom.llm import factorise, language, mixing, rules, toxicity, warc
 from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
@@ -25,6 +25,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scores = toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    held = in_fold(F.col("doc_id"), toxicity.FOLDS, toxicity.HELD)
+    return scores.select("doc_id", held.alias("held_out"), "score", "predicted", "evidence")
+
+
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = language.predicted(docs, language.train(docs))
+    held = in_fold(F.col("doc_id"), language.FOLDS, language.HELD)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_quality_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
