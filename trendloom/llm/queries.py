@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import factorise, language, mixing, rules, toxicity, warc
+from trendloom.llm import factorise, jaccard, language, mixing, rules, toxicity, warc
 from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
@@ -25,6 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, folder, "documents"), 3, 90).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -29,7 +29,7 @@ BITS = 18
 BINS = 1 << BITS
 VOCABULARY = 512
 FEWEST = 5  # examples that hold a word of the vocabulary
-NEIGHBOURS = 15
+NEIGHBOURS = 31
 BLOCK = 64
 GROUP = 256  # texts searched at once
 EVIDENCE = 3
