@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import factorise, jaccard, language, mixing, rules, toxicity, warc
+from trendloom.llm import factorise, html, jaccard, language, licences, mixing, rules, tiling, toxicity, warc
 from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
@@ -25,6 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extracted(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_groups(table(spark, folder, "documents"), 3, 90).select("doc_id", "n_shingles", "component_id")
@@ -54,6 +59,11 @@ def op5_quality_score(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", in_fold(F.col("doc_id"), factorise.FOLDS, factorise.HELD).alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents"))
+
+
 @query
 def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
@@ -79,3 +89,9 @@ def op9_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         "record_type",
         warc.page_of(F.col("refers_to")).alias("refers_to"),
     )
+
+
+@query
+def op10_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return pairs.drop("row_key")
