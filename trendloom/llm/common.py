@@ -65,3 +65,11 @@ def labelled_sample(labels: DataFrame, id: str, label: str, most: int, seed: str
         chosen = chosen | ((F.col("__label") == value) & (draw < share))
         weight = F.when(F.col("__label") == value, F.lit(1 / share)).otherwise(weight)
     return rows.where(chosen).withColumn("__weight", weight)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

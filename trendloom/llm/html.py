@@ -35,6 +35,8 @@ INLINE = set(
 # Elements without text of the page.
 MUTE = set("script style noscript template head title svg math canvas audio video object iframe embed map".split())
 SKIPPED = set("nav header footer aside form button select textarea input menu dialog fieldset datalist option label".split())
+# Elements that can be a content region.
+CONTAINERS = set("html body main article section div td center".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # A start of the key ends an open element of the value, as end tags are optional.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -82,7 +84,7 @@ class Reader(HTMLParser):
     def cut(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            path = tuple(e.number for e in self.stack if e.tag not in INLINE)
+            path = tuple(e.number for e in self.stack if e.tag in CONTAINERS)
             self.lines.append(Line(text, self.tags, path, self.stack[-1].article if self.stack else 0))
             self.tags = 0
         self.pieces = []

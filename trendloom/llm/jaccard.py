@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import ship_code, stored
+from trendloom.llm.common import ship_code, stored, unused
 from trendloom.llm.components import components
 
 MARGIN = 1
@@ -412,7 +412,8 @@ def keep_one(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text: st
 
     The row with the smallest id stays; repeated rows stay once, also those without words.
     """
-    leaders = near_groups(docs, k, percent, id, text).select(F.col("leader").alias("__key")).distinct()
-    keyed = docs.withColumn("__key", row_key(id, text)).join(leaders, "__key")
-    one = keyed.withColumn("__place", F.expr("row_number() OVER (PARTITION BY __key ORDER BY 1)")).where("__place = 1")
+    key, place = unused(docs, "__key"), unused(docs, "__place")
+    leaders = near_groups(docs, k, percent, id, text).select(F.col("leader").alias(key)).distinct()
+    keyed = docs.withColumn(key, row_key(id, text)).join(leaders, key)
+    one = keyed.withColumn(place, F.expr(f"row_number() OVER (PARTITION BY {key} ORDER BY 1)")).where(f"{place} = 1")
     return one.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -87,7 +87,8 @@ def targets(sources: DataFrame) -> DataFrame:
 
 
 def _finish(turn: int):
-    return (F.lit(turn).cast("long") * F.col("__words") + F.col("__upto")).cast("double") / F.col("__target")
+    words = (F.lit(turn).cast("long") * F.col("__words") + F.col("__upto")).cast("double")
+    return F.when(F.col("__target") > 0, words / F.col("__target"))
 
 
 def _place(turn: int):
@@ -111,11 +112,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     """
     spark = docs.sparkSession
     rows = sized(docs, id, text, source, carry)
-    if not carry:
-        rows = stored(rows, "mix-sizes")
-    else:  # the sizes alone, and the rows again in the last pass
-        narrow = stored(sized(docs, id, text, source), "mix-sizes")
-    narrow = rows if not carry else narrow
+    # with carried columns the sizes alone are stored, and the rows read again in the last pass
+    narrow = stored(sized(docs, id, text, source) if carry else rows, "mix-sizes")
     sums = narrow.groupBy("__source").agg(F.sum("__size").alias("__words"), F.count("*").alias("__rows"), F.max("__size").alias("__longest"))
     sums = stored(sums, "mix-sources")
     sources = targets(sums.drop("__rows", "__longest"))
@@ -197,5 +195,5 @@ def in_order(mixed: DataFrame) -> DataFrame:
     """The servings of a mix as a global sequence: one row per serving, range-sorted by finish time."""
     times = (F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
     served = mixed.where("taken > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), times - 1)))
-    again = F.col("turn") * F.col("source_size") / F.col("target")
+    again = F.col("turn") * F.col("source_size") / F.col("target")  # what is served has a target
     return served.withColumn("finish", F.col("finish") + again).orderBy("finish")

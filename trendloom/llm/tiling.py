@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import ship_code, stored
+from trendloom.llm.common import ship_code, stored, unused
 from trendloom.llm.jaccard import row_key
 
 SHORTEST = 5
@@ -255,7 +255,8 @@ def contaminated(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that contaminate no item, with all their columns."""
-    flagged = contaminated(docs, benchmark, id, text, item, item_text).select(F.col("row_key").alias("__key")).distinct()
+    key = unused(docs, "__key")
+    flagged = contaminated(docs, benchmark, id, text, item, item_text).select(F.col("row_key").alias(key)).distinct()
     flagged = stored(flagged, "tiling-flagged")
-    keyed = docs.withColumn("__key", row_key(id, text))
-    return keyed.join(flagged, "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.withColumn(key, row_key(id, text))
+    return keyed.join(flagged, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
