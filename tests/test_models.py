@@ -12,6 +12,7 @@ from trendloom.operators import quality
 from trendloom.operators.quality import StaleSourceError, author_columns
 from trendloom.plans import checks, facts, marts, serving, staging
 from trendloom.plans import rebuild as builds
+from trendloom.sources import tables
 from trendloom.sources.landing import land_comments, land_posts
 from trendloom.sources.raw_files import scan_raw
 from trendloom.sources.tables import current_state
@@ -231,6 +232,51 @@ def test_only_new_loads_are_matched(spark, raw, tmp_path):
     assert fewer.count() == 24 and matched.count() == 24
 
 
+def test_a_load_is_matched_whatever_its_stamp(spark, raw, tmp_path):
+    """Loads that overlap a rebuild: of an equal and of an earlier stamp, and from another table."""
+    posts, terms, folder = raw[0], shipped_terms(), str(tmp_path / "matched")
+    late = posts.where("_loaded_at = timestamp_ntz'2024-05-02 00:00:00'")
+    early = posts.where("_loaded_at = timestamp_ntz'2024-05-01 00:00:00'")
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    seen = 0
+    for load, path in ((late.where("id < 'p5'"), one), (late.where("id >= 'p5'"), one), (early.where("id < 'p5'"), one), (early.where("id >= 'p5'"), two)):
+        tables.append_raw(load, path)
+        seen += load.count()
+        versions = tables.read_versions(spark, *[p for p in (one, two) if (tmp_path / p).exists()])
+        assert builds.update_matched(versions, facts.match_each_post, terms, folder).count() == seen
+    matched = builds.update_matched(versions, facts.match_each_post, terms, folder)
+    whole = facts.match_each_post(versions, terms)
+    assert sorted(map(str, matched.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_readers_see_the_last_complete_build(spark, raw, tmp_path, monkeypatch):
+    posts, comments = raw
+    posts = posts.withColumn("created_utc", F.when(F.col("id") == "p12", F.lit("2024-04-30 12:00:00").cast("timestamp_ntz")).otherwise(F.col("created_utc")))
+    folder = str(tmp_path / "models")
+    with pytest.raises(FileNotFoundError):
+        builds.open_models(spark, folder)
+
+    def build(rows):
+        name = builds.new_build()
+        models = builds.rebuild(spark, rows, comments, shipped_terms(), builds.build_folder(folder, name), "salt", NOW, window_months=1)
+        builds.publish(spark, folder, name)
+        return models
+
+    fewer = posts.where("id not in ('p1', 'p2')")
+    build(fewer)
+    before = {n: sorted(map(str, df.collect())) for n, df in builds.open_models(spark, folder).items()}
+
+    def broken(*_):
+        raise RuntimeError("no change mart today")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="no change mart"):
+        patch.setattr(marts, "tool_share_change", broken)
+        build(posts)
+    assert {n: sorted(map(str, df.collect())) for n, df in builds.open_models(spark, folder).items()} == before
+    build(posts)
+    assert builds.open_models(spark, folder)["fct_posts"].count() == 12
+
+
 def test_a_stale_source_stops_the_rebuild(spark, raw, tmp_path):
     posts, comments = raw
     with pytest.raises(StaleSourceError, match="posts"):

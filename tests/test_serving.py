@@ -87,23 +87,23 @@ def test_few_other_tools_may_both_rise_and_fall(spark):
 
 def test_latest_two_months_fill_a_missing_share_and_mark_the_running_month(spark):
     monthly = spark.createDataFrame(
-        [(date(2026, 7, 1), "Post titles", 10.5), (date(2026, 8, 1), "Post titles", 10.9),
-         (date(2026, 8, 1), "Comments", 15.8), (date(2026, 9, 1), "Comments", 20.8)],
+        [(date(2031, 1, 1), "Post titles", 41.25), (date(2031, 2, 1), "Comments", 3.0),
+         (date(2031, 2, 1), "Post titles", 38.0), (date(2031, 3, 1), "Comments", 2.75)],
         "month date, measure string, share_pct double",
     )
-    rows = [(r.measure, r.month.month, r.share_pct, r.label) for r in serving.latest_two_months(monthly, "2026-09-28").collect()]
+    rows = [(r.measure, r.month.month, r.share_pct, r.label) for r in serving.latest_two_months(monthly, "2031-03-04").collect()]
     assert rows == [
-        ("Comments", 8, 15.8, "Aug 2026"), ("Comments", 9, 20.8, "Sep 2026 (so far)"),
-        ("Post titles", 8, 10.9, "Aug 2026"), ("Post titles", 9, 0.0, "Sep 2026 (so far)"),
+        ("Comments", 2, 3.0, "Feb 2031"), ("Comments", 3, 2.75, "Mar 2031 (so far)"),
+        ("Post titles", 2, 38.0, "Feb 2031"), ("Post titles", 3, 0.0, "Mar 2031 (so far)"),
     ]
 
 
 def test_window_labels(spark):
     frame = spark.createDataFrame(
-        [(date(2024, 10, 1), "first"), (date(2025, 3, 1), "first"), (date(2026, 3, 1), "last"), (date(2026, 8, 1), "last")],
+        [(date(2029, 5, 1), "first"), (date(2029, 7, 1), "first"), (date(2030, 11, 1), "last"), (date(2031, 1, 1), "last")],
         "month date, period string",
     )
-    assert [r.label for r in serving.window_labels(frame).collect()] == ["Oct 2024 – Mar 2025", "Mar 2026 – Aug 2026"]
+    assert [r.label for r in serving.window_labels(frame).collect()] == ["May 2029 – Jul 2029", "Nov 2030 – Jan 2031"]
 
 
 def test_json_rows_keep_nulls(spark):

@@ -11,7 +11,7 @@ from trendloom.functions.scalars import epoch_to_timestamp, nested_text, timesta
 from trendloom.operators.reconcile import diff_counts, list_files, manifest_diff
 from trendloom.sources import raw_files, tables
 from trendloom.sources.landing import land_comments, land_posts
-from trendloom.sources.spread import spread_small
+from trendloom.sources.spread import spread
 from trendloom.sources.terms import read_terms, shipped_terms, term_frame, term_list
 from trendloom.streaming.day_files import stream_day_files
 
@@ -37,44 +37,50 @@ def test_every_object_of_every_day_file_is_one_row(spark, day_files):
         ("2024-01-11", "2024-02-04", []),
     ],
 )
-def test_a_range_of_days_is_inclusive_and_may_have_gaps(spark, day_files, monkeypatch, start, end, wanted):
+def test_a_range_of_days_is_inclusive_and_may_have_gaps(spark, day_files, start, end, wanted):
     folder = day_files("posts", POSTS)
     assert ids(raw_files.scan_raw(spark, folder, start, end)) == wanted
-    monkeypatch.setattr(raw_files, "MAX_TEXT_FILE_BYTES", 10)
-    assert ids(raw_files.scan_raw(spark, folder, start, end)) == wanted
 
 
 def test_days_are_pruned_by_file_name(spark, day_files):
-    raw = raw_files.scan_text_arrays(spark, day_files("posts", POSTS), "2024-02-05")
+    raw = raw_files.scan_raw(spark, day_files("posts", POSTS), "2024-02-05")
     assert raw.count() == 4
     plan = raw._jdf.queryExecution().executedPlan().toString()
-    assert "file_name" in plan.split("FileScan text")[1]
-
-
-def test_only_oversized_files_are_streamed(spark, day_files, monkeypatch):
-    folder = day_files("posts", POSTS)
-    sizes = sorted(r.length for r in spark.read.format("binaryFile").load(folder).select("length").collect())
-    monkeypatch.setattr(raw_files, "MAX_TEXT_FILE_BYTES", sizes[1])
-    assert ids(raw_files.scan_text_arrays(spark, folder)) != ids(raw_files.scan_raw(spark, folder))
-    assert ids(raw_files.scan_raw(spark, folder)) == sorted(p["id"] for day in POSTS.values() for p in day)
-
-
-def test_large_files_keep_every_field(spark, day_files):
-    folder = day_files("posts", POSTS)
-    large = {json.loads(r.raw)["id"]: json.loads(r.raw) for r in raw_files.scan_streamed_arrays(spark, [folder]).collect()}
-    for objects in POSTS.values():
-        for wanted in objects:
-            found = large[wanted["id"]]
-            assert {k: found[k] for k in wanted if k != "_meta"} == {k: v for k, v in wanted.items() if k != "_meta"}
-            assert {k: v for k, v in found["_meta"].items() if v is not None} == wanted["_meta"]
-
-
-@pytest.mark.parametrize("limit", [10, 10_000])
-def test_a_broken_day_file_is_an_error(spark, day_files, monkeypatch, limit):
+    assert "file_path" in plan.split("FileScan text")[1]
+
+
+def test_the_day_is_the_last_date_in_a_name_or_that_of_its_folder(spark, tmp_path):
+    for name in ("posts-2024-01-05.json", "2024-01-06.2.json", "old-2023-01-01-2024-01-07.json", "day=2024-01-08/part-0.json", "x.json"):
+        file = tmp_path / "2022-02-02" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(json.dumps([{"id": name}]))
+    folder = str(tmp_path / "2022-02-02")
+    found = {r.raw: r.day for r in spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder).select(
+        F.get_json_object("value", "$[0].id").alias("raw"), raw_files.file_day(F.col("_metadata.file_path")).alias("day")).collect()}
+    assert found == {
+        "posts-2024-01-05.json": "2024-01-05", "2024-01-06.2.json": "2024-01-06", "old-2023-01-01-2024-01-07.json": "2024-01-07",
+        "day=2024-01-08/part-0.json": "2024-01-08", "x.json": "",
+    }
+
+
+def test_batch_and_stream_land_the_same_rows(spark, tmp_path):
+    """Mixed types, empty objects and missing keys: what one row holds changes no other row."""
+    (tmp_path / "in").mkdir()
+    objects = [{"id": "a", "score": 5, "_meta": {}}, {"id": "b", "score": "12", "upvote_ratio": 0.90}, {"id": "c"}, {}]
+    (tmp_path / "in" / "2024-01-05.json").write_text(json.dumps(objects))
+    batch = land_posts(raw_files.scan_raw(spark, str(tmp_path / "in")), "2024-05-01 00:00:00")
+    stream_day_files(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "p"), lambda raw: land_posts(raw, "2024-05-01 00:00:00")).awaitTermination()
+    streamed = tables.read_versions(spark, str(tmp_path / "t")).drop("created_month")
+    rows = sorted(map(str, batch.collect()))
+    assert rows == sorted(map(str, streamed.collect()))
+    assert {r.id: r.score for r in batch.collect()} == {"a": 5, "b": 0, "c": 0, "": 0}
+    assert [json.loads(r.raw) for r in batch.orderBy("id").collect()] == [{}, *objects[:3]]
+
+
+def test_a_broken_day_file_is_an_error(spark, day_files):
     folder = day_files("posts", {"2024-01-01": [{"id": "a"}]})
     with open(f"{folder}/2024-01-02.json", "w") as file:
         file.write('[{"id": "b"}, {"id": ')
-    monkeypatch.setattr(raw_files, "MAX_TEXT_FILE_BYTES", limit)
     with pytest.raises(Exception, match="(?i)malformed"):
         raw_files.scan_raw(spark, folder).collect()
 
@@ -190,10 +196,18 @@ def test_comments_land_from_day_files(spark, day_files):
     assert landed.count() == sum(map(len, COMMENTS.values()))
 
 
-def test_small_inputs_are_spread_and_large_ones_left(spark, tmp_path, monkeypatch):
+def test_scans_of_few_partitions_are_spread_and_others_left(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.range(1000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert "RoundRobin" in spread_small(df, path)._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr("trendloom.sources.spread.SMALL_BYTES_PER_CORE", 1)
-    assert "Exchange" not in spread_small(df, path)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" in spread(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in spread(spark.range(0, 1000, 1, 16))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_base_path_below_itself_keeps_its_keys_apart(spark, tmp_path):
+    base = tmp_path / "raw"
+    for key in ("1.json", f"a{base}/1.json"):
+        file = base / key
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("[]")
+    for folder in (str(base), f"{base}/", f"file:{base}", f"file://{base}"):
+        assert {r.key for r in list_files(spark, folder).collect()} == {"1.json", f"a{base}/1.json"}

@@ -86,10 +86,10 @@ def random_texts(words: list[str], count: int) -> list[str]:
     return texts
 
 
-@pytest.mark.parametrize("limit", [128, 0])
-def test_random_texts_match_brute_force(spark, monkeypatch, limit):
-    """Both forms of the expression, with plain phrases and with regexes."""
-    monkeypatch.setattr(text_module, "UNROLL_LIMIT", limit)
+@pytest.mark.parametrize("group", [64, 1, 7])
+def test_random_texts_match_brute_force(spark, monkeypatch, group):
+    """Groups of any size, with plain phrases and with regexes, and both in one dictionary."""
+    monkeypatch.setattr(text_module, "GROUP", group)
     plain = shipped_terms()
     words = [w for t in plain for w in t.pattern.split("|")] + ["sql server agent", "user-agent", "the", "é", "x1"]
     texts = random_texts(words, 400)
@@ -97,11 +97,18 @@ def test_random_texts_match_brute_force(spark, monkeypatch, limit):
     assert matched(spark, texts, plain, titles) == brute_force(texts, plain, titles)
     odd = random_texts(["c++", ".net", "net", "v12", "v", "a.b", "axb", "foo", "foobar", "foo bar", "user", "agent", "é"], 400)
     assert matched(spark, odd, REGEX_TERMS) == brute_force(odd, REGEX_TERMS)
+    both = plain + REGEX_TERMS
+    assert matched(spark, texts + odd, both) == brute_force(texts + odd, both)
 
 
-def test_both_forms_agree_on_a_large_dictionary(spark):
+def test_a_dot_takes_line_breaks_in_a_pattern_but_not_in_an_exclusion(spark):
+    terms = [Term("A", "x", "sql.server"), Term("B", "x", "server", "sql.server")]
+    found = matched(spark, ["sql\nserver", "sql server", "sql\r\nserver"], terms)
+    assert {(i, tool) for i, tool, _ in found} == {(0, "A"), (0, "B"), (1, "A"), (2, "B")}
+
+
+def test_a_large_dictionary(spark):
     terms = [Term(f"tool {i}", "x", f"w{i}|w{i} x") for i in range(300)]
-    assert len(terms) > text_module.UNROLL_LIMIT
     texts = random_texts([f"w{i}" for i in range(310)] + ["x"], 100)
     assert matched(spark, texts, terms) == brute_force(texts, terms)
 
@@ -132,5 +139,4 @@ def test_only_plain_phrases_are_screened():
     assert phrases("power bi|powerbi") == ["power bi", "powerbi"]
     assert phrases("c\\+\\+") is None
     assert phrases("two  spaces") is None
-    assert any_term_regex([Term("a", "x", "spark"), Term("b", "x", "v\\d+")]) is None
     assert "(?i)" in whole_word("spark")

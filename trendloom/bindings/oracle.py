@@ -28,7 +28,7 @@ def _hit(column: str, term: Term) -> str:
     searched = column
     if term.exclude_pattern:
         searched = rf"regexp_replace({column}, '\b({term.exclude_pattern})\b', ' ', 'g')"
-    return rf"regexp_matches({searched}, '\b({term.pattern})\b')"
+    return rf"regexp_matches({searched}, '\b({term.pattern})\b', 's')"
 
 
 def _mentions(source: str, keys: str, text: str, terms: list[Term], title: str | None = None) -> str:
@@ -250,6 +250,45 @@ _MODELS = {
 }
 
 
+# What is summed up of each model: texts, days, flags and numbers.
+_CONTENT = {
+    "fct_post_tool_mentions": ("post_id tool category flair", "posted_at", "is_in_title is_removed_at_capture is_removed_later", "score num_comments"),
+    "fct_comment_tool_mentions": ("comment_id post_id tool category", "commented_at", "is_top_level", "score"),
+    "fct_posts": (
+        "post_id flair removal_reason later_removal_type",
+        "posted_at",
+        "is_text_post is_removed_at_capture is_removed_later mentions_ai mentions_ai_in_title",
+        "score num_comments upvote_ratio tools_mentioned",
+    ),
+    "dim_comparison_windows": ("period", "month", "", ""),
+    "mart_tool_mentions_by_month": ("tool category", "month", "", "posts_mentioning posts_mentioning_in_title posts_in_month share_pct title_share_pct"),
+    "mart_comment_tool_mentions_by_month": ("tool category", "month", "", "comments_mentioning comments_in_month share_pct"),
+    "mart_ai_share_by_flair_month": ("flair", "month", "", "posts ai_posts_in_title ai_title_share_pct"),
+    "mart_ai_share_by_month": ("measure", "month", "", "mentions_ai total share_pct"),
+    "mart_ai_share_change": ("measure", "", "", "first_share_pct last_share_pct change_pts growth_ratio"),
+    "mart_tool_share_change": ("tool category measure", "", "is_ai", "first_share_pct last_share_pct change_pts"),
+    "mart_ai_share_by_flair_window": ("flair period", "", "", "posts ai_posts_in_title ai_title_share_pct"),
+}
+
+
+def _contents(model: str) -> str:
+    forms = ["length({0})", "date_diff('day', DATE '1970-01-01', CAST({0} AS DATE))", "CAST({0} AS INTEGER)", "CAST({0} AS DOUBLE)"]
+    sums = [" + ".join(["0", *(f"coalesce(sum({form.format(c)}), 0)" for c in columns.split())]) for form, columns in zip(forms, _CONTENT[model], strict=True)]
+    whole = [f"CAST({value} AS BIGINT) AS {name}" for name, value in zip(("chars", "days", "flags"), sums, strict=False)]
+    return f"SELECT '{model}' AS model, count(*) AS rows, {', '.join(whole)}, round(CAST({sums[3]} AS DOUBLE), 4) AS numbers FROM {_MODELS[model]}"
+
+
+# Objects of four shapes, as they land.
+_MIXED = """
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 4 = 2 THEN '' ELSE event_type END AS title, '' AS author,
+           CAST(CASE WHEN event_id % 4 = 0 THEN floor(value) ELSE 0 END AS INTEGER) AS score,
+           CASE WHEN event_id % 4 = 1 THEN 'deleted' END AS later_removal_type,
+           CASE event_id % 4 WHEN 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) WHEN 1 THEN '12' END AS raw_score,
+           CASE event_id % 4 WHEN 0 THEN '{}' WHEN 1 THEN '{"removal_type":"deleted","k":1}' END AS raw__meta,
+           CASE WHEN event_id % 4 = 3 THEN '[1,{"a":{}}]' END AS raw_extra
+    FROM events"""
+
+
 def _listed(values: list[str]) -> str:
     return ", ".join(_text(v) for v in values)
 
@@ -320,6 +359,12 @@ _BODIES = {
         FROM part""",
     "json_array_explode": "SELECT day, id, title, json_extract_string(props, '$.k') AS k FROM event_posts",
     "json_array_files": "SELECT day, id, title FROM event_posts",
+    "scan_raw_all": _MIXED,
+    "scan_raw_days": f"{_MIXED} WHERE CAST(ts AS DATE) BETWEEN DATE '{q.FIRST_DAY}' AND DATE '{q.LAST_DAY}'",
+    "listing_diff": """
+        SELECT DISTINCT 'event_type=' || event_type || '/day=' || strftime(ts, '%Y-%m-%d') AS key,
+               CASE WHEN event_type = 'click' THEN 'copy' ELSE 'skip' END AS action, TRUE AS below_itself
+        FROM events""",
     "land_json_defaults": f"SELECT *, TIMESTAMP '{q.LOAD_1}' AS loaded_at FROM ({_POST_JSON} FROM orders)",
     "land_comments_defaults": """
         SELECT l_orderkey || '-' || l_linenumber AS id, 't3_' || l_orderkey AS link_id,
@@ -371,6 +416,9 @@ _BODIES = {
     "text_mentions_regex": _mentions(
         f"(SELECT doc_id, lang, {_ascii_lower('text')} AS x FROM documents)", "doc_id, lang", "x", t.REGEX_TERMS
     ),
+    "text_mentions_mixed": _mentions(
+        f"(SELECT doc_id, lang, {_ascii_lower('text')} AS x FROM documents)", "doc_id, lang", "x", t.MIXED_TERMS
+    ),
     "text_mentions_tools": _mentions(
         "(SELECT 'document ' || doc_id AS item_id, lower(text) AS x FROM documents UNION ALL "
         "SELECT 'turn ' || conv_id || '-' || turn, lower(text) FROM conversations)",
@@ -480,9 +528,7 @@ _BODIES = {
                      (epoch_us(TIMESTAMP '{q.NOW}') - epoch_us(max({column}))) / 3600000000 AS hours FROM {name})"""
         for name, column in [("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")]
     ),
-    "mart_chain": " UNION ALL ".join(
-        f"SELECT '{model}' AS model, count(*) AS rows FROM {cte}" for model, cte in _MODELS.items()
-    ),
+    "mart_chain": " UNION ALL ".join(map(_contents, _MODELS)),
     "dq_report": _report(),
 }
 

@@ -172,6 +172,44 @@ def json_array_files(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select("day", F.get_json_object("raw", "$.id").alias("id"), F.get_json_object("raw", "$.title").alias("title"))
 
 
+def _scanned(spark: SparkSession, folder: str, *days: str) -> DataFrame:
+    """Day files of objects with mixed types, empty objects and missing keys, scanned and landed."""
+    path = new_folder(spark, "day-files")
+    tables.write_json_arrays(t.mixed_arrays(spark, folder), path)
+    raw = raw_files.scan_raw(spark, path, *days, pattern="*.txt")
+    fields = [F.get_json_object("raw", f"$.{name}").alias(f"raw_{name}") for name in ("score", "_meta", "extra")]
+    landed = landing.land_posts(raw, LOAD_1).select("id", "title", "author", "score", "later_removal_type", *fields)
+    return landed
+
+
+@query
+def scan_raw_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _scanned(spark, folder)
+
+
+@query
+def scan_raw_days(spark: SparkSession, folder: str) -> DataFrame:
+    return _scanned(spark, folder, FIRST_DAY, LAST_DAY)
+
+
+@query
+def listing_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in folders by day, against a copy that lacks a type; the base path stands below itself again."""
+    base = new_folder(spark, "listing")
+    again = f"{base}/source{base.split(':', 1)[-1]}/source"
+    events = t.table(spark, folder, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").cast("string"))
+    for name, rows in ((again, events), (f"{base}/target", events.where("event_type <> 'click'"))):
+        rows.repartition(1, "event_type", "day").write.partitionBy("event_type", "day").text(name)
+    def folders(files: DataFrame) -> DataFrame:
+        """Part files have a new name in each write: a folder stands for its file."""
+        return files.select(F.regexp_extract("key", "(event_type=.*)/", 1).alias("key"), "size", F.col("key").alias("path"))
+
+    source = folders(reconcile.list_files(spark, f"{base}/source", "*.txt"))
+    target = folders(reconcile.list_files(spark, f"{base}/target", "*.txt"))
+    inner = F.startswith("path", F.lit(again.removeprefix(f"{base}/source/") + "/event_type=")).alias("below_itself")
+    return reconcile.manifest_diff(source, target).join(source.select("key", inner), "key").select("key", "action", "below_itself")
+
+
 @query
 def land_json_defaults(spark: SparkSession, folder: str) -> DataFrame:
     landed = landing.land_posts(t.post_json(spark, folder), LOAD_1)
@@ -319,6 +357,12 @@ def text_mentions_regex(spark: SparkSession, folder: str) -> DataFrame:
     return _document_mentions(spark, folder, t.REGEX_TERMS)
 
 
+@query
+def text_mentions_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases and regexes in one dictionary, some across line breaks."""
+    return _document_mentions(spark, folder, t.MIXED_TERMS)
+
+
 @query
 def text_mentions_tools(spark: SparkSession, folder: str) -> DataFrame:
     """The shipped dictionary over documents and conversations."""
@@ -373,13 +417,18 @@ def mentions_from_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def mentions_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """The same two loads, each matched on its own as it comes in."""
-    path, matched_folder = new_folder(spark, "posts"), new_folder(spark, "matched")
+    """The same versions in four loads, each matched as it comes in: two of an equal stamp, then two
+    of an earlier one, the last in a table of its own."""
+    path, second, matched_folder = (new_folder(spark, n) for n in ("posts", "late", "matched"))
     raw = t.post_json(spark, folder)
     changed = raw.withColumn("raw", F.regexp_replace("raw", "2-HIGH", "1-URGENT"))
-    for stamp, load in ((LOAD_1, raw), (LOAD_2, changed)):
-        tables.append_raw(landing.land_posts(load, stamp), path, gather_months=True)
-        stored = tables.read_versions(spark, path)
+    even = F.get_json_object("raw", "$.id").cast("long") % 2 == 0
+    loads = [(LOAD_2, changed.where(even), path), (LOAD_2, changed.where(~even), path), (LOAD_1, raw.where(even), path), (LOAD_1, raw.where(~even), second)]
+    written: list[str] = []
+    for stamp, load, to in loads:
+        tables.append_raw(landing.land_posts(load, stamp), to, gather_months=True)
+        written = list(dict.fromkeys([*written, to]))
+        stored = tables.read_versions(spark, *written)
         matched = builds.update_matched(stored, facts.match_each_post, t.PRIORITY_TERMS, matched_folder)
     return marts.tool_mentions_by_month(facts.newest_posts(matched), t.PRIORITY_TERMS)
 
@@ -630,8 +679,8 @@ def _stored_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @query
 def mart_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """All facts and marts stored in dependency order; rows of each."""
-    return builds.row_counts(_stored_models(spark, folder))
+    """All facts and marts stored in dependency order; rows and sums over the content of each."""
+    return builds.contents(_stored_models(spark, folder))
 
 
 @query
@@ -643,4 +692,4 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
         "tools": terms.term_frame(spark, t.PART_TERMS),
         **_stored_models(spark, folder),
     }
-    return checks.report(models, expected_terms=["Hot Ring", "Sprocket"])
+    return builds.tested(models, new_folder(spark, "tested"), expected_terms=["Hot Ring", "Sprocket"])

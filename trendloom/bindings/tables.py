@@ -10,7 +10,7 @@ from trendloom.functions.scalars import timestamp_to_epoch
 from trendloom.functions.text import Term
 from trendloom.operators.versions import latest_by_key
 from trendloom.session import configure
-from trendloom.sources.spread import spread_small
+from trendloom.sources.spread import spread
 
 # The dictionary over part names, and one over real words in four languages.
 PART_TERMS = [
@@ -39,6 +39,13 @@ REGEX_TERMS = [
     Term("ACCENT", "french", "é[a-z]+"),
     Term("UN", "french", "une?", "un[a-z]? (la|le)"),
 ]
+# phrases and regexes together; the last two meet words on two lines
+MIXED_TERMS = [
+    *WORD_TERMS,
+    *REGEX_TERMS,
+    Term("OVER LINES", "english", r"[a-z]+\..the"),
+    Term("NOT OVER LINES", "english", "the|of", r"the.of"),
+]
 # over the priorities that stand in for titles of raw posts; two patterns meet title and body
 PRIORITY_TERMS = [
     Term("Urgent", "ai", "urgent"),
@@ -70,8 +77,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
-    """A table with costly work per row ahead, shared out over the cores if it is small."""
-    return spread_small(table(spark, folder, name), f"{folder}/{name}.parquet", *keys)
+    """A table with costly work per row ahead, shared out over the cores if its scan isn't."""
+    return spread(table(spark, folder, name), *keys)
 
 
 def current_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,6 +226,27 @@ def event_objects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def mixed_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON texts of four shapes: other types for one key, empty objects, missing keys."""
+    kind, key = F.col("event_id") % 4, F.format_string('{"id": "%d"', "event_id")
+    title = F.concat(F.lit(', "title": "'), "event_type", F.lit('"'))
+    score = F.concat(F.lit(', "score": '), F.floor("value").cast("string"))
+    text = (
+        F.when(kind == 0, F.concat(key, title, score, F.lit(', "_meta": {}}')))
+        .when(kind == 1, F.concat(key, title, F.lit(', "score": "12", "_meta": {"removal_type": "deleted", "k": 1}}')))
+        .when(kind == 2, F.concat(key, F.lit("}")))
+        .otherwise(F.concat(key, title, F.lit(', "author": null, "extra": [1, {"a": {}}]}')))
+    )
+    return spread_table(spark, folder, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", text.alias("raw"))
+
+
+def mixed_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Those objects as JSON arrays of one day each, split where a day holds very many."""
+    chunk = F.floor(F.col("event_id") / ARRAY_LENGTH).alias("chunk")
+    arrays = mixed_objects(spark, folder).groupBy("day", chunk).agg(F.concat_ws(",", F.collect_list("raw")).alias("objects"))
+    return arrays.select("day", F.concat(F.lit("["), "objects", F.lit("]")).alias("value"))
+
+
 # objects per JSON array, which bounds what one group gathers: event ids are unique
 ARRAY_LENGTH = 100_000
 

@@ -63,8 +63,6 @@ FIRST = "first"
 LAST = "last"
 FOCUS_GROUP = "AI tools"
 OTHER_GROUP = "Other tools"
-MAIN_FLAIRS = ["Discussion", "Help", "Career", "Blog", "Personal Project Showcase", "Open Source"]
-DEFAULT_PICKED_TOOLS = ["AI (general)", "Spark", "Airflow", "dbt"]
 MAX_PICKED_TOOLS = 4
 CURRENT_MONTH_MARK = " (so far)"
 TOP_MOVERS = 3

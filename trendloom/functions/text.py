@@ -5,9 +5,12 @@ A term is a lower-case regex that must stand between two word boundaries, where
 boundary is spelled out with lookarounds.
 
 Scanning every text with every regex is what costs. Terms that are plain words or phrases
-(the usual case) are therefore screened first: one regex asks whether any term of the
-dictionary can occur at all, then ``contains`` asks it for one term, and only then its
-regex runs. Both screens can only let too much through, so the result stays exact.
+(the usual case) are therefore screened first: one regex asks whether any term of a group
+can occur at all, then ``contains`` asks it for one term, and only then its regex runs. Both
+screens can only let too much through, so the result stays exact. Terms with regex syntax
+have no screen and run beside the groups; they don't slow the others down.
+
+In a term's pattern ``.`` takes line breaks too; in the phrases it excludes it doesn't.
 """
 
 from __future__ import annotations
@@ -30,9 +33,8 @@ BOUNDARY = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 # exclusion (its neighbours are never word characters) cannot create a phrase.
 _PHRASE = re.compile(r"[a-z0-9_]+(?:[ -][a-z0-9_]+)*")
 
-# Above this many terms the expression is one filter over a constant array; below, the terms
-# are unrolled, which compiles each regex once per task instead of once per hit.
-UNROLL_LIMIT = 128
+# Terms that share a screen and an array in the plan; a dictionary of any size is a list of such groups.
+GROUP = 64
 
 
 class Term(NamedTuple):
@@ -57,6 +59,11 @@ def whole_word(pattern: str) -> str:
     return f"(?i){BOUNDARY}(?:{pattern}){BOUNDARY}"
 
 
+def across_lines(regex: str) -> str:
+    """The regex with a dot that takes line breaks."""
+    return f"(?s){regex}"
+
+
 def check_terms(terms: Iterable[Term]) -> list[Term]:
     """Terms as a list; patterns must be lower case, since texts are matched lower-cased."""
     terms = list(terms)
@@ -86,7 +93,7 @@ def term_matches(text: Column, lowered: Column, term: Term) -> Column:
     searched = text
     if term.exclude_pattern:
         searched = F.regexp_replace(text, whole_word(term.exclude_pattern), " ")
-    found = F.rlike(searched, F.lit(whole_word(term.pattern)))
+    found = F.rlike(searched, F.lit(across_lines(whole_word(term.pattern))))
     words = _screenable(term)
     if words is None:
         return found
@@ -99,14 +106,11 @@ def mentions(text: Column, pattern: str, exclude_pattern: str | None = None) ->
     return term_matches(text, F.lower(text), term)
 
 
-def any_term_regex(terms: Sequence[Term]) -> str | None:
-    """A regex that every text mentioning any of the terms matches; None if there is none."""
+def any_term_regex(terms: Sequence[Term]) -> str:
+    """A regex that every text mentioning any of these screened terms matches."""
     by_first_letter: dict[str, list[str]] = {}
     for term in terms:
-        words = _screenable(term)
-        if words is None:
-            return None
-        for word in words:
+        for word in _screenable(term):
             by_first_letter.setdefault(word[0], []).append(word[1:])
     branches = [f"{first}(?:{'|'.join(rest)})" for first, rest in by_first_letter.items()]
     return f"(?i)(?<!{WORD})(?:{'|'.join(branches)})"
@@ -129,44 +133,19 @@ def _unrolled(whole: Searched, terms: Sequence[Term], title: Searched | None) ->
     return F.array_compact(F.array(*[F.when(term_matches(*whole, t), row(t)) for t in terms]))
 
 
-def _filtered(whole: Searched, terms: Sequence[Term], title: Searched | None) -> Column:
-    constant = F.array(
-        *[
-            F.struct(
-                F.lit(t.tool).alias("tool"),
-                F.lit(t.category).alias("category"),
-                F.lit(whole_word(t.pattern)).alias("regex"),
-                F.lit(whole_word(t.exclude_pattern) if t.exclude_pattern else None).cast("string").alias("blank"),
-                F.array(*[F.lit(w) for w in _screenable(t) or [""]]).alias("words"),
-            )
-            for t in terms
-        ]
-    )
-
-    def found(searched: Searched, term: Column) -> Column:
-        blanked = F.regexp_replace(searched.text, term["blank"], F.lit(" "))
-        return F.exists(term["words"], lambda w: F.contains(searched.lowered, w)) & F.rlike(
-            F.when(term["blank"].isNull(), searched.text).otherwise(blanked), term["regex"]
-        )
-
-    def row(term: Column) -> Column:
-        fields = [term["tool"].alias("tool"), term["category"].alias("category")]
-        if title is not None:
-            fields.append(found(title, term).alias("is_in_title"))
-        return F.struct(*fields)
-
-    return F.transform(F.filter(constant, lambda t: found(whole, t)), row)
-
-
 def mention_array(whole: Searched, terms: Sequence[Term], title: Searched | None = None) -> Column:
     """The dictionary rows a text mentions: ``array<struct<tool, category[, is_in_title]>>``.
 
-    Empty, never NULL, for a text without any. With ``title`` each row also says whether the
-    title alone mentions the tool.
+    Empty, never NULL, for a text without any; in no particular order. With ``title`` each row
+    also says whether the title alone mentions the tool.
     """
-    form = _unrolled if len(terms) <= UNROLL_LIMIT else _filtered
-    found = form(whole, terms, title)
-    screen = any_term_regex(terms)
-    if screen is not None:
-        found = F.when(F.rlike(whole.text, F.lit(screen)), found)
-    return F.coalesce(found, F.array())
+    screened = [t for t in terms if _screenable(t)]
+    others = [t for t in terms if not _screenable(t)]
+    parts = []
+    for at in range(0, len(screened), GROUP):
+        group = screened[at : at + GROUP]
+        found = F.when(F.rlike(whole.text, F.lit(any_term_regex(group))), _unrolled(whole, group, title))
+        parts.append(F.coalesce(found, F.array()))
+    for at in range(0, len(others), GROUP):
+        parts.append(F.coalesce(_unrolled(whole, others[at : at + GROUP], title), F.array()))
+    return F.concat(*parts) if parts else F.array()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom import fixed_values as fv
-from trendloom.plans import checks, rebuild, serving
+from trendloom.plans import rebuild, serving
 from trendloom.session import configure
 from trendloom.sources.landing import land_comments, land_posts
 from trendloom.sources.raw_files import scan_raw
@@ -44,24 +44,27 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def rebuild_models(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Gate on freshness, rebuild all models, run all data tests."""
+    """Gate on freshness, rebuild all models, run all data tests, publish the build if they pass."""
     terms = term_list(read_terms(spark, args.terms)) if args.terms else shipped_terms()
+    build = rebuild.new_build()
+    folder = rebuild.build_folder(args.models, build)
     models = rebuild.rebuild(
         spark,
         read_versions(spark, *args.posts),
         read_versions(spark, *args.comments),
         terms,
-        args.models,
+        folder,
         os.environ["TRENDLOOM_SALT"],
         args.now,
         args.window_months,
         args.matched,
     )
-    report = checks.report(models, args.window_months)
+    report = rebuild.tested(models, folder, window_months=args.window_months)
     rows = report.collect()  # one row per test
     failed = sorted(r.test for r in rows if r.status == "error")
     if failed:
         raise FailedTestsError("; ".join(failed))
+    rebuild.publish(spark, args.models, build)
     return spark.createDataFrame(rows, report.schema)
 
 
@@ -87,8 +90,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--files", required=True, help="folder of day files")
         job.add_argument("--table", required=True)
         if name == "land":
-            job.add_argument("--start", help="YYYY-MM-DD; omit to land every file")
-            job.add_argument("--end", help="YYYY-MM-DD, inclusive; the start if omitted")
+            job.add_argument("--start", help="first day to land; all files without it")
+            job.add_argument("--end", help="last day to land; only the first without it")
         else:
             job.add_argument("--progress", required=True, help="checkpoint folder of the stream")
 

@@ -86,9 +86,12 @@ def freshness(
 ) -> DataFrame:
     """Age of the newest row in hours at ``now``, and what that means for the rebuild.
 
-    Event time, not load time: a stalled source still loads, it only brings nothing new. A
-    source without any row counts as an error.
+    Measured on the time of the events, since a source may go on loading without anything new. A
+    source without any row counts as an error. Of a table stored by month only the newest month
+    is read; the months themselves come from the folder names.
     """
+    if "created_month" in df.columns and moment == "created_utc":
+        df = df.where(F.col("created_month") == df.select(F.max("created_month")).scalar())
     newest = df.agg(F.max(F.col(moment)).cast("timestamp_ntz").alias("newest"))
     age = F.timestamp_diff("MICROSECOND", F.col("newest"), F.lit(now).cast("timestamp_ntz"))
     aged = newest.select(F.lit(source).alias("source"), "newest", (age / F.lit(3_600_000_000)).alias("age_hours"))

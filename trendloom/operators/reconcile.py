@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """Key (path below the folder) and size of every file; the content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    base = folder.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    return files.load(folder).select(
-        F.substring_index("path", base, -1).alias("key"), F.col("length").alias("size")
-    )
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    key = F.substring("path", len(base.encode("utf-16-le")) // 2 + 2, 2**31 - 1)
+    return files.load(folder).select(key.alias("key"), F.col("length").alias("size"))
 
 
 def manifest_diff(source: DataFrame, target: DataFrame, key: str = "key", size: str = "size") -> DataFrame:

@@ -1,19 +1,25 @@
-"""The rebuild: freshness gate, matched items, facts, marts."""
+"""The rebuild: freshness gate, matched items, facts, marts, and the build that readers see.
+
+A build is written to a folder of its own, tested, and only then published: one row appended to
+the ``published`` table. Readers open the build of the last row, so they see all of it or none.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom import fixed_values as fv
 from trendloom.functions.text import Term, check_terms, dictionary_key
 from trendloom.operators.quality import freshness, require_fresh
 from trendloom.operators.windows import comparison_windows, distinct_months
-from trendloom.plans import facts, marts
+from trendloom.plans import checks, facts, marts
 from trendloom.plans.staging import clean_comments, clean_posts
 from trendloom.sources.tables import current_state, load_if_present, overwrite_table
 from trendloom.sources.terms import term_frame
@@ -75,18 +81,23 @@ def update_matched(
     terms: Iterable[Term],
     folder: str,
 ) -> DataFrame:
-    """Match the versions loaded since the last run, append them, and return all matched versions.
+    """Match the versions that are not matched yet, append them, and return all matched versions.
 
-    What was matched is kept per dictionary, so a changed dictionary matches everything anew.
-    Loads have to be finished before: rows are told apart by their load stamp. Old files are
-    skipped by the stamp's range in each file.
+    A version is known by its id, load stamp and content digest, so a load may come late, carry an
+    earlier or an equal stamp, or stand in another table. What was matched is kept per dictionary,
+    so a changed dictionary matches everything anew. Keys are compared first, without any text;
+    the texts of new versions are then found by their keys, a month's at a time.
     """
     terms = check_terms(terms)
     spark, path = versions.sparkSession, f"{folder}/{dictionary_key(terms)}"
     known = load_if_present(spark.read.format("parquet"), path)
-    newest = known.agg(F.max("_loaded_at").cast("string")).first()[0] if known is not None else None
-    if newest is not None:
-        versions = versions.where(F.col("_loaded_at") > F.lit(newest).cast("timestamp_ntz"))
+    if known is not None:
+        key = ["id", "_loaded_at", "_digest"]
+        place = [*key, "created_month"] if "created_month" in versions.columns else key
+        matched_id = next(c for c in known.columns if c in ("post_id", "comment_id"))
+        done = known.select(F.col(matched_id).alias("id"), *key[1:])
+        new = versions.select(*place).join(done, key, "left_anti").distinct()
+        versions = versions.join(new, place, "left_semi")
     match_each(versions, terms).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
@@ -104,8 +115,9 @@ def rebuild(
 ) -> dict[str, DataFrame]:
     """From raw versions to marts; raises before anything is written when a source is stale.
 
-    With ``matched_folder`` only versions loaded since the last rebuild are matched; without,
-    all are. Staging stays a view: it is named here, for the data tests, but never stored.
+    ``folder`` is that of this build, see ``new_build``. With ``matched_folder`` only versions that no
+    earlier rebuild matched are matched; without, all are. Staging stays a view; what the data
+    tests read of it is stored, so that the newest versions are found once for all of them.
     """
     terms = check_terms(terms)
     require_fresh(
@@ -128,6 +140,13 @@ def rebuild(
     }
 
 
+def tested(models: dict[str, DataFrame], folder: str, **options: object) -> DataFrame:
+    """The report of all data tests of a build, on staging stored for them in its folder."""
+    narrow = checks.narrow_staging(models["stg_posts"], models["stg_comments"])
+    stored = store_tables({f"tested_{name}": df for name, df in narrow.items()}, folder)
+    return checks.report({**models, **{name: stored[f"tested_{name}"] for name in narrow}}, **options)
+
+
 STORED = (
     "matched_posts",
     "matched_comments",
@@ -145,9 +164,34 @@ STORED = (
 )
 
 
+def new_build() -> str:
+    """The name of a build that is yet to be written."""
+    return uuid.uuid4().hex
+
+
+def build_folder(folder: str, build: str) -> str:
+    return f"{folder}/builds/{build}"
+
+
+def _published(spark: SparkSession, folder: str) -> DataFrame | None:
+    return load_if_present(spark.read.schema("number LONG, build STRING").format("parquet"), f"{folder}/published")
+
+
+def publish(spark: SparkSession, folder: str, build: str) -> None:
+    """Make a complete build the one that readers open; one rebuild at a time publishes."""
+    earlier = _published(spark, folder)
+    last = earlier.agg(F.max("number")).first()[0] if earlier is not None else 0
+    row = spark.range(1).select(F.lit(last + 1).cast("long").alias("number"), F.lit(build).alias("build"))
+    row.write.mode("append").parquet(f"{folder}/published")
+
+
 def open_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The stored models of the last rebuild."""
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in STORED}
+    """The stored models of the build published last."""
+    published = _published(spark, folder)
+    last = published.orderBy(F.desc("number")).first() if published is not None else None
+    if last is None:
+        raise FileNotFoundError(f"no build is published in {folder}")
+    return {name: spark.read.parquet(f"{build_folder(folder, last.build)}/{name}") for name in STORED}
 
 
 def publish_views(models: dict[str, DataFrame]) -> None:
@@ -156,7 +200,35 @@ def publish_views(models: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def row_counts(models: dict[str, DataFrame]) -> DataFrame:
-    """Rows per model."""
-    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("model"), "rows") for n, df in models.items()]
-    return reduce(DataFrame.unionByName, counts)
+def contents(models: dict[str, DataFrame]) -> DataFrame:
+    """Per model its rows and sums over its content: characters, days, true flags and numbers.
+
+    Sums of numbers are rounded to four places.
+    """
+
+    def total(values: list[Column], kind: str) -> Column:
+        sums = [F.coalesce(F.sum(v.cast(kind)), F.lit(0).cast(kind)) for v in values]
+        return reduce(add, sums, F.lit(0).cast(kind))
+
+    parts = []
+    for name, df in models.items():
+        chars, days, flags, numbers = [], [], [], []
+        for column, kind in df.dtypes:
+            value = F.col(column)
+            if kind == "string":
+                chars.append(F.length(value))
+            elif kind == "date" or kind.startswith("timestamp"):
+                days.append(F.datediff(value.cast("date"), F.lit("1970-01-01").cast("date")))
+            elif kind == "boolean":
+                flags.append(value.cast("int"))
+            else:
+                numbers.append(value)
+        sums = [
+            F.count("*").alias("rows"),
+            total(chars, "long").alias("chars"),
+            total(days, "long").alias("days"),
+            total(flags, "long").alias("flags"),
+            F.round(total(numbers, "double"), 4).alias("numbers"),
+        ]
+        parts.append(df.agg(*sums).select(F.lit(name).alias("model"), "*"))
+    return reduce(DataFrame.unionByName, parts)

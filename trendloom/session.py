@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +19,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_local_folders: dict[str, str] = {}
+_scratch: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,19 +50,32 @@ def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSe
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors share one machine, may go without.
+    On a cluster it has to be set. A local master, where driver and executors are one process,
+    gets a folder of its own where it is unset, which is removed when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="trendloom-")
-    return _local_folders[context.applicationId]
+    own = tempfile.mkdtemp(prefix="trendloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it is removed when the application ends."""
+    root = f"{shared_folder(spark)}/trendloom-{spark.sparkContext.applicationId}"
+    if root not in _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _scratch.add(root)
+    return root
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a table of this application; nothing is created yet."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-# Day files up to this size are read as one text value, which a task holds with its parsed
-# copy; larger ones are parsed as a stream.
-MAX_TEXT_FILE_BYTES = 128 * 1024 * 1024
-
-
 def explode_json_array(df: DataFrame, array_text: str, name: str = "raw") -> DataFrame:
-    """One row of raw JSON text per element of a top-level JSON array; a broken one is an error."""
+    """One row of JSON text per element of a top-level JSON array; a broken one is an error.
+
+    An element keeps all its fields and their order; numbers come back in Spark's notation, so
+    ``0.90`` becomes ``0.9``, and spacing is dropped.
+    """
     elements = F.from_json(F.col(array_text), ArrayType(StringType()), {"mode": "FAILFAST"})
     kept = [c for c in df.columns if c != array_text]
     return df.select(*kept, F.explode(elements).alias(name))
@@ -35,52 +34,27 @@ def slice_days(df: DataFrame, moment: str, start: str, end: str | None = None) -
     return df.where((F.col(moment) >= first) & (F.col(moment) < after))
 
 
-def _day(file_name: Column) -> Column:
-    return F.regexp_extract(file_name, r"(\d{4}-\d{2}-\d{2})[^/]*$", 1)
-
-
-def _name_in_range(start: str | None, end: str | None) -> Column:
-    """A range of days as a range of file names, which prunes files before they are read.
-
-    ``~`` sorts after whatever may follow the day in a name.
-    """
-    return F.lit(True) if start is None else F.col("_metadata.file_name").between(start, (end or start) + "~")
-
-
-def scan_text_arrays(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Verbatim JSON text of every object in day files of moderate size.
-
-    A JSON array cannot be split, so a file is one task.
-    """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
-    chosen = files.where(_name_in_range(start, end) & (F.col("_metadata.file_size") <= MAX_TEXT_FILE_BYTES))
-    return explode_json_array(chosen.select(_day(F.col("_metadata.file_name")).alias("day"), "value"), "value")
-
-
-def scan_streamed_arrays(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Objects of day files of any size: each array is parsed as a stream of rows.
-
-    The raw text is written again from all fields found, so it keeps every field but not the
-    spacing of the original.
-    """
-    objects = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(paths)
-    everything = F.struct(*[F.col(f"`{c}`") for c in objects.columns])
-    return objects.select(
-        _day(F.col("_metadata.file_name")).alias("day"),
-        F.to_json(everything, {"ignoreNullFields": "false"}).alias("raw"),
-    )
+def file_day(path: Column) -> Column:
+    """The day a file is of: the last ISO date in its name, else that of its ``day=`` folder; else empty."""
+    day = r"(\d{4}-\d{2}-\d{2})"
+    named = F.regexp_extract(path, f".*{day}[^/]*$", 1)
+    return F.when(named != "", named).otherwise(F.regexp_extract(path, f"/day={day}/[^/]*$", 1))
 
 
-def scan_raw(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:
+def scan_raw(
+    spark: SparkSession, folder: str, start: str | None = None, end: str | None = None, pattern: str = "*.json"
+) -> DataFrame:
     """Raw objects of ``{folder}/{YYYY-MM-DD}.json``: every file, one day, or a range of days.
 
-    A day without a file is simply absent.
+    One reader for files of every size: a JSON array cannot be split, so a file is one text value
+    and one task, which holds it with its elements; a file beyond what a value can hold is an
+    error, never read in another way. Files outside the range are pruned before they are read. A
+    day without a file is simply absent.
     """
-    raw = scan_text_arrays(spark, folder, start, end)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
-    large = files.where(F.col("length") > MAX_TEXT_FILE_BYTES).where(in_day_range(_day(F.col("path")), start, end))
-    paths = [row.path for row in large.select("path").collect()]  # one short row per oversized file
-    return raw.unionByName(scan_streamed_arrays(spark, paths)) if paths else raw
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder)
+    day = file_day(F.col("_metadata.file_path"))
+    chosen = files.where(in_day_range(day, start, end))
+    return explode_json_array(chosen.select(day.alias("day"), "value"), "value")
 
 
 def scan_lines(spark: SparkSession, folder: str, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -1,24 +1,15 @@
-"""Sharing out a small input over the cores."""
+"""Sharing out the rows of a scan over the cores."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# below this much per core, moving the rows costs less than leaving cores idle
-SMALL_BYTES_PER_CORE = 32 * 1024 * 1024
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a scan that has fewer partitions than there are cores.
 
-def spread_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
-    """Repartition rows read from ``path`` over all cores, if it is a few small files.
-
-    A small file is one row group and so one task, whatever follows the scan. With a file per
-    core, or large files, there are enough tasks, and the rows stay as they are scanned. Only
-    the file listing is looked at.
+    A file of one row group is one task, whatever follows the scan. Scans of more partitions stay
+    as they are; the number is planned from the file listing that the scan has anyway.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    sizes = [row.length for row in files.select("length").limit(cores).collect()]
-    if len(sizes) == cores or sum(sizes) > cores * SMALL_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, *keys)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

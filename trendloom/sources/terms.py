@@ -10,9 +10,6 @@ from trendloom.functions.text import Term, check_terms
 
 TERM_SCHEMA = "tool STRING, category STRING, pattern STRING, exclude_pattern STRING"
 
-# A dictionary becomes part of the query plan; this is a check on what is a dictionary.
-MAX_TERMS = 20_000
-
 
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
     """Dictionary CSV with a header; a blank cell means no exclusion."""
@@ -21,10 +18,8 @@ def read_terms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def term_list(terms: DataFrame) -> list[Term]:
-    """The dictionary on the driver, in a fixed order."""
-    rows = terms.limit(MAX_TERMS + 1).collect()
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"a dictionary may hold at most {MAX_TERMS} terms")
+    """The dictionary on the driver, in a fixed order; it becomes part of the query plan."""
+    rows = terms.collect()
     return check_terms(sorted(Term(r.tool, r.category, r.pattern, r.exclude_pattern or None) for r in rows))
 
 

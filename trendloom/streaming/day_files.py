@@ -24,8 +24,7 @@ def stream_day_files(
 
     The file sink commits each batch once, and no state is kept: the newest version wins, which
     a streaming ``dropDuplicates`` (first wins) cannot give, so ``current_state`` picks it on
-    read. Files are read as whole texts; oversized ones belong into a batch load, which parses
-    them as a stream of rows. A day that is captured again must arrive under a new file name, such as
+    read. Files are read as ``scan_raw`` reads them, whatever their size. A day that is captured again must arrive under a new file name, such as
     ``2025-05-31.2.json``: a stream reads each file once.
     """
     files = (
