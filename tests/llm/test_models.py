@@ -122,7 +122,7 @@ def test_characters_are_lowered_and_spaces_joined():
 def test_counts_do_not_depend_on_the_neighbours_in_a_batch():
     texts = ["the cat", "", "über", "a", None, "the cat"]
     whole = np.concatenate([c for ch in textkit.chunks(pa.array(texts)) for _, c in language.gram_counts(ch)])
-    alone = [np.concatenate([c for ch in textkit.chunks(pa.array([t])) for _, c in language.gram_counts(ch)])[0] for t in texts]
+    alone = [np.concatenate([c for ch in textkit.chunks(pa.array([t], pa.string())) for _, c in language.gram_counts(ch)])[0] for t in texts]
     assert (whole == np.array(alone)).all() and whole.sum(axis=1).tolist()[1] == 0
 
 
@@ -182,7 +182,7 @@ def test_neighbours_are_those_of_all_cosines():
         terms = np.unique(np.concatenate([random.integers(0, 20, 3) + 20 * label, random.integers(0, size, random.integers(0, 5))]))
         rows.append((terms, random.integers(1, 4, len(terms))))
     rows[5] = (np.zeros(0, int), np.zeros(0, int))
-    index = toxicity.build(np.arange(n), rows, y, np.ones(n), np.zeros(1), random.random(size).astype(np.float32) + 0.1)
+    index = toxicity.build(np.arange(n), rows, y, np.ones(n), toxicity.Vocabulary(np.arange(size)), random.random(size).astype(np.float32) + 0.1)
     queries = index.weights.T[random.permutation(n)[:60]]
     cosines, places = index.nearest(queries)
     every = queries @ index.weights
@@ -193,6 +193,16 @@ def test_neighbours_are_those_of_all_cosines():
     assert (index.bounds >= index.weights[:, : toxicity.BLOCK].max(axis=1, keepdims=True)).any()
 
 
+def test_terms_are_words_and_their_beginnings_in_any_case():
+    (chunk,) = textkit.chunks(pa.array(["Abcdefgh, abcd ABCDefgh x", "abcdx"]))
+    documents, terms, counts = toxicity._counted(*toxicity._terms(chunk))
+    assert np.bincount(documents).tolist() == [6, 2]  # three words and three beginnings; a word and one
+    assert counts.sum() == 4 + 2 * 3 + 1 + 1
+    chosen = toxicity.Vocabulary(terms[documents == 0])
+    own, places, times = chosen.counts(chunk)
+    assert (own == 0).sum() == 6 and (own == 1).sum() == 1 and times[own == 0].sum() == 10
+
+
 def test_toxicity_query(spark):
     got, docs, labels = joined(spark, "op3_toxicity")
     assert all(r.held_out == held(r.doc_id, 5, 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)

@@ -1,8 +1,8 @@
 """Toxicity by votes of the nearest labelled examples.
 
-Texts are TF-IDF vectors over a vocabulary of hashed words: the ``VOCABULARY`` bins whose presence
-depends most on the label in a bounded sample of examples (chi-square). Document frequencies cover
-all documents. Examples are kept in an inverted index cut into blocks of ``BLOCK`` similar ones;
+Texts are TF-IDF vectors over a vocabulary of terms, words and beginnings of words, known by 64-bit
+fingerprints: the ``VOCABULARY`` terms whose presence depends most on the label in a bounded sample
+of examples (chi-square). Document frequencies cover all documents. Examples are kept in an inverted index cut into blocks of ``BLOCK`` similar ones;
 each term has a largest weight per block. The sum of a text's weights times these bounds the cosine
 to any example of a block, so a block is left out once that bound is below the text's k-th best
 cosine: the neighbours are exact. Their votes, weighted by cosine, are turned into a probability by
@@ -25,10 +25,9 @@ from trendloom.llm.common import in_fold, labelled_sample, ship_code
 # Most labelled examples, about.
 SAMPLE = 6000
 FOLDS, HELD = 5, 0
-BITS = 18
-BINS = 1 << BITS
+BEGINNINGS = (4, 5, 6)  # bytes, of longer words
 VOCABULARY = 512
-FEWEST = 5  # examples that hold a word of the vocabulary
+FEWEST = 5  # examples that hold a term of the vocabulary
 NEIGHBOURS = 31
 BLOCK = 64
 GROUP = 256  # texts searched at once
@@ -37,43 +36,75 @@ PREDICT_AT = 0.5
 
 
 def _terms(chunk: textkit.Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """Document and bin of every word."""
+    """Document and fingerprint of every word and beginning of a word."""
     found = textkit.words(chunk, textkit.alnum_table())
-    return found.documents(), (textkit.word_hashes(chunk, found, lower=True) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-def _vocabulary_counts(chunk: textkit.Chunk, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct vocabulary terms of each document, ascending: document, term, count."""
-    documents, bins = _terms(chunk)
-    terms = place[bins]
-    hit = terms >= 0
-    pairs, counts = np.unique(documents[hit] * size + terms[hit], return_counts=True)
-    return pairs // size, pairs % size, counts
-
-
-def choose_vocabulary(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """The bins of largest chi-square between presence and label; ties go to the smaller bin."""
-    if not rows:
-        return np.zeros(0, dtype=np.int64)
-    ones = np.bincount(np.concatenate([r for r, v in zip(rows, y, strict=True) if v] or [np.zeros(0, np.int64)]), minlength=BINS)
-    both = ones + np.bincount(np.concatenate([r for r, v in zip(rows, y, strict=True) if not v] or [np.zeros(0, np.int64)]), minlength=BINS)
-    n, n1 = len(y), int(y.sum())
-    used = np.flatnonzero(both >= FEWEST)
-    a, b = ones[used].astype(float), both[used].astype(float)
-    spread = b * (n - b) * n1 * (n - n1)
-    chi = np.where(spread > 0, n * (a * n - b * n1) ** 2 / np.maximum(spread, 1), 0)
-    return np.sort(used[np.lexsort((used, -chi))[:VOCABULARY]])
+    documents = found.documents()
+    owners, hashes = [documents], [textkit.word_hashes(chunk, found, lower=True)]
+    for size in BEGINNINGS:
+        longer = np.flatnonzero(found.ends - found.starts > size)
+        starts = found.starts[longer]
+        owners.append(documents[longer])
+        hashes.append(textkit.mix64(textkit.segment_hashes(chunk.data, starts, starts + size, lower=True) + np.uint64(size)))
+    return np.concatenate(owners), np.concatenate(hashes)
+
+
+def _counted(documents: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of each document, ascending: document, term, count."""
+    order = np.lexsort((terms, documents))
+    documents, terms = documents[order], terms[order]
+    new = np.ones(len(terms), dtype=bool)
+    new[1:] = (terms[1:] != terms[:-1]) | (documents[1:] != documents[:-1])
+    at = np.flatnonzero(new)
+    return documents[at], terms[at], np.diff(np.append(at, len(terms)))
+
+
+class Vocabulary:
+    """Sorted fingerprints of the terms, looked up behind a small table of their first bits."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = np.sort(terms.astype(np.uint64))
+        self.first = np.zeros(1 << 16, dtype=bool)
+        self.first[(self.terms >> np.uint64(48)).astype(np.int64)] = True
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+    def counts(self, chunk: textkit.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of the vocabulary in each document, ascending: document, place, count."""
+        documents, hashes = _terms(chunk)
+        hit = np.flatnonzero(self.first[(hashes >> np.uint64(48)).astype(np.int64)])
+        places = np.searchsorted(self.terms, hashes[hit])
+        known = places < len(self.terms)
+        known[known] = self.terms[places[known]] == hashes[hit][known]
+        return _counted(documents[hit][known], places[known])
+
+
+def choose_vocabulary(examples: DataFrame) -> np.ndarray:
+    """The terms of largest chi-square between presence and label; ties go to the smaller fingerprint.
+
+    ``examples`` has ``__label`` and ``terms``, the distinct terms of each example. Terms are counted by
+    Spark, and only the chosen ones reach the driver.
+    """
+    sizes = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("__label"), F.lit(0)).alias("ones")).first()
+    n, ones = float(sizes.n), float(sizes.ones)
+    counted = examples.select(F.col("__label").cast("double").alias("y"), F.explode("terms").alias("term"))
+    counted = counted.groupBy("term").agg(F.sum("y").alias("a"), F.count("*").cast("double").alias("b"))
+    spread = F.col("b") * (n - F.col("b")) * ones * (n - ones)
+    chi = F.when(spread > 0, n * F.pow(F.col("a") * n - F.col("b") * ones, F.lit(2.0)) / spread)
+    chosen = counted.where(F.col("b") >= FEWEST).withColumn("chi", chi).where("chi > 0").orderBy(F.desc("chi"), "term").limit(VOCABULARY)
+    return chosen.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64)
 
 
-def frequencies(docs: DataFrame, text: str, place: np.ndarray, size: int) -> tuple[int, np.ndarray]:
+def frequencies(docs: DataFrame, text: str, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
     """How many documents there are, and in how many each term occurs."""
+    size = max(1, len(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, sums = 0, np.zeros(size, dtype=np.int64)
         for batch in batches:
             total += batch.num_rows
             for chunk in textkit.chunks(batch.column(0)):
-                sums += np.bincount(_vocabulary_counts(chunk, place, size)[1], minlength=size)
+                sums += np.bincount(vocabulary.counts(chunk)[1], minlength=size)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(size), -1)), pa.array(np.append(sums, total))], names=["term", "n"])
 
     found = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "term long, n long")
@@ -81,14 +112,14 @@ def frequencies(docs: DataFrame, text: str, place: np.ndarray, size: int) -> tup
     sums = np.zeros(size, dtype=np.int64)
     inner = rows[rows["term"] >= 0]
     sums[inner["term"].to_numpy()] = inner["n"].to_numpy()
-    return int(rows.loc[rows["term"] < 0, "n"].sum()), sums
+    return int(rows.loc[rows["term"] < 0, "n"].sum()), sums[: len(vocabulary)]
 
 
 @dataclass
 class Index:
     """Examples by blocks: ``weights[term, example]`` and ``bounds[term, block]``."""
 
-    place: np.ndarray
+    vocabulary: Vocabulary
     idf: np.ndarray
     weights: np.ndarray
     bounds: np.ndarray
@@ -157,11 +188,11 @@ def fit_curve(votes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
-def build(ids: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray, place: np.ndarray, idf: np.ndarray) -> Index:
+def build(ids: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray, vocabulary: Vocabulary, idf: np.ndarray) -> Index:
     """The index over examples given as (terms, counts); examples without a term have no postings."""
     size, n = len(idf), len(y)
     share = float((weight @ y + 1) / (weight.sum() + 2)) if n else 0.5
-    index = Index(place, idf, np.zeros((size, 0), np.float32), np.zeros((size, 0), np.float32), np.zeros(1), np.ones(1), np.zeros(1, object), share)
+    index = Index(vocabulary, idf, np.zeros((size, 0), np.float32), np.zeros((size, 0), np.float32), np.zeros(1), np.ones(1), np.zeros(1, object), share)
     if not n:
         return index
     owner = np.repeat(np.arange(n), [len(t) for t, _ in rows])
@@ -187,51 +218,52 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
     rows = rows.join(F.broadcast(chosen), "__id").select("__text", "__id", "__label", "__weight")
 
+    def all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = []
+            for chunk in textkit.chunks(batch.column(0)):
+                documents, terms, _ = _counted(*_terms(chunk))
+                cuts = np.searchsorted(documents, np.arange(chunk.n + 1))
+                lists += [terms[a:b].view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(lists, pa.list_(pa.int64()))], names=["__label", "terms"])
+
+    vocabulary = Vocabulary(choose_vocabulary(rows.mapInArrow(all_terms, "__label int, terms array<long>")))
+
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, counts = [], []
+            places, counts = [], []
             for chunk in textkit.chunks(batch.column(0)):
-                documents, own = _terms(chunk)
-                pairs, times = np.unique(documents * BINS + own, return_counts=True)
-                cuts = np.searchsorted(pairs, np.arange(chunk.n + 1) * BINS)
-                bins += [(pairs[a:b] % BINS).astype(np.int32) for a, b in zip(cuts, cuts[1:], strict=False)]
+                documents, own, times = vocabulary.counts(chunk)
+                cuts = np.searchsorted(documents, np.arange(chunk.n + 1))
+                places += [own[a:b].astype(np.int32) for a, b in zip(cuts, cuts[1:], strict=False)]
                 counts += [times[a:b].astype(np.int32) for a, b in zip(cuts, cuts[1:], strict=False)]
-            arrays = [*batch.columns[1:], pa.array(bins, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[1:], "bins", "counts"])
+            arrays = [*batch.columns[1:], pa.array(places, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[1:], "places", "counts"])
 
     id_type = chosen.schema["__id"].dataType.simpleString()
-    found = rows.mapInArrow(featurise, f"__id {id_type}, __label int, __weight double, bins array<int>, counts array<int>")
-    one = found.groupBy("__id").agg(F.min(F.struct("bins", "counts", "__label", "__weight")).alias("r")).select("__id", "r.*")
+    found = rows.mapInArrow(featurise, f"__id {id_type}, __label int, __weight double, places array<int>, counts array<int>")
+    one = found.groupBy("__id").agg(F.min(F.struct("places", "counts", "__label", "__weight")).alias("r")).select("__id", "r.*")
     got = one.orderBy("__id").toPandas()
-    y = got["__label"].to_numpy(np.int64)
-    bins = [np.asarray(b, dtype=np.int64) for b in got["bins"]]
-    vocabulary = choose_vocabulary(bins, y)
-    place = np.full(BINS, -1, dtype=np.int32)
-    place[vocabulary] = np.arange(len(vocabulary))
-    total, counted = frequencies(docs, text, place, max(1, len(vocabulary)))
-    idf = np.log((total + 1) / (counted[: len(vocabulary)] + 1)).astype(np.float32) + np.float32(1e-3)
-    examples = []
-    for own, counts in zip(bins, got["counts"], strict=True):
-        terms = place[own]
-        examples.append((terms[terms >= 0], np.asarray(counts)[terms >= 0]))
-    return build(got["__id"].to_numpy(object), examples, y, got["__weight"].to_numpy(float), place, idf)
+    total, counted = frequencies(docs, text, vocabulary)
+    idf = np.log((total + 1) / (counted + 1)).astype(np.float32) + np.float32(1e-3)
+    examples = [(np.asarray(p, dtype=np.int64), np.asarray(c)) for p, c in zip(got["places"], got["counts"], strict=True)]
+    return build(got["__id"].to_numpy(object), examples, got["__label"].to_numpy(np.int64), got["__weight"].to_numpy(float), vocabulary, idf)
 
 
 def scored(docs: DataFrame, index: Index, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``score`` (0 to 1), ``predicted``, and ``evidence``: the nearest examples as text.
 
-    A text without a word of the vocabulary, as a null or empty one, has no neighbours: its score is
+    A text without a term of the vocabulary, as a null or empty one, has no neighbours: its score is
     the share of label 1, calibrated. Null ids and repeated rows are scored like any other.
     """
     ship_code(docs.sparkSession)
-    size = len(index.idf)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             evidence: list[str] = []
             for chunk in textkit.chunks(batch.column(0)):
-                documents, terms, counts = _vocabulary_counts(chunk, index.place, max(1, size))
+                documents, terms, counts = index.vocabulary.counts(chunk)
                 for at in range(0, chunk.n, GROUP):
                     n = min(GROUP, chunk.n - at)
                     a, b = np.searchsorted(documents, [at, at + n])
