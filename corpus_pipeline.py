@@ -36,7 +36,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the mix takes, with the words of them that it takes, repeats counted."""
-    columns = [c for c in docs.columns if c not in ("doc_id", "size", "source_size", "target", "taken", "finish")]
+    own = ("doc_id", "size", "source_size", "target", "taken", "finish")
+    columns = [c for c in docs.columns if c.lower() not in own]
     return mixing.mix(docs, carry=columns).where("taken > 0")
 
 
