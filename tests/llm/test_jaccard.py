@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 import plain
+from trendloom.llm import components as connected
 from trendloom.llm import jaccard
 from trendloom.llm.components import components
 from trendloom.llm.queries import QUERIES
@@ -41,12 +42,23 @@ def test_against_all_pairs(spark, k, percent):
     assert found(spark, texts, k, percent) == want
 
 
-def test_groups_of_several_blocks(spark, monkeypatch):
+def test_groups_of_several_blocks_and_joins_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 3)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(connected, "TASK_EDGES", 7)
     texts = near_copies(5, 4, 20, 70, 5)
     assert found(spark, texts, 3, 85) == plain.similar_groups(texts, 3, 85)
 
 
+def test_texts_of_common_passages(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON_SHARE", 0.05)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = {i: f"{t} {passage}" for i, t in near_copies(6, 25, 3, 30, 3).items()} | {900 + i: passage + f" e{i}" for i in range(6)}
+    want = plain.similar_groups(texts, 5, 80)
+    assert 10 < len(set(want.values())) < 60
+    assert found(spark, texts, 5, 80) == want
+
+
 def test_a_hot_group_needs_few_comparisons():
     r = random.Random(7)
     base = [np.uint64(r.getrandbits(64)) for _ in range(200)]
@@ -64,19 +76,25 @@ def test_tree_finds_every_component_of_unrelated_and_chained_sets():
     assert len(links) == 29 and all(a < 30 and b < 30 for a, b in links)
 
 
-def test_no_possible_link_misses_a_common_part():
+@pytest.mark.parametrize("percent", [90, 80, 55])
+def test_no_possible_link_misses_a_common_part(percent):
     r = random.Random(11)
-    for _ in range(300):
-        n = r.randrange(1, 80)
+    for _ in range(600):
+        n = r.randrange(1, 120)
         a = {r.getrandbits(64) for _ in range(n)}
-        b = set(r.sample(sorted(a), max(1, n - r.randrange(1 + n // 9)))) | {r.getrandbits(64) for _ in range(r.randrange(1 + n // 9))}
+        most = 1 + n * (100 - percent) // 100
+        b = set(r.sample(sorted(a), max(1, n - r.randrange(most)))) | {r.getrandbits(64) for _ in range(r.randrange(most))}
         sets = [np.array(sorted(x), dtype=np.uint64) for x in (a, b)]
-        if 100 * len(a & b) < 90 * len(a | b):
+        if 100 * len(a & b) < percent * len(a | b):
             continue
+        share = r.choice([0, 0.2, 0.6, 1])
+        common = np.zeros(1 << jaccard.COMMON_BITS, dtype=bool)
+        for x in a | b:
+            common[x >> (64 - jaccard.COMMON_BITS)] |= r.random() < share
         keys = []
         for s in sets:
-            classes = jaccard.SizeClasses(90, len(s))
-            keys.append(set(jaccard.part_keys(s, np.array([0, len(s)]), classes)[0].tolist()))
+            classes = jaccard.SizeClasses(percent, len(s))
+            keys.append(set(jaccard.part_keys(s, np.array([0, len(s)]), classes, common)[0].tolist()))
         assert keys[0] & keys[1]
 
 
@@ -95,7 +113,9 @@ def test_empty_table(spark):
     assert jaccard.keep_one(plain.documents(spark, []), 5, 80).count() == 0
 
 
-def test_components_of_long_paths_and_hubs(spark):
+@pytest.mark.parametrize("task_edges", [9, 100_000])
+def test_components_of_long_paths_and_hubs(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(connected, "TASK_EDGES", task_edges)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 200)] + [(300, 300), (400, 401), (401, 400)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 200)} | {400: 400, 401: 400}

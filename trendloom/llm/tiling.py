@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
 from trendloom.llm.common import ship_code, stored, unused
-from trendloom.llm.jaccard import row_key
+from trendloom.llm.jaccard import row_key, small
 
 SHORTEST = 5
 COVERAGE_PERCENT = 50
@@ -259,4 +259,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     flagged = contaminated(docs, benchmark, id, text, item, item_text).select(F.col("row_key").alias(key)).distinct()
     flagged = stored(flagged, "tiling-flagged")
     keyed = docs.withColumn(key, row_key(id, text))
-    return keyed.join(flagged, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(small(flagged), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
