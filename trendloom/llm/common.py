@@ -14,11 +14,18 @@ from trendloom.session import new_folder
 
 ROOT = Path(__file__).resolve().parents[2]
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
 _shipped: set[str] = set()
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Send this package to the Python workers, unless they find it by themselves."""
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers find this package, and bound what they are handed at once.
+
+    Batches are bounded by bytes unless the session says otherwise: ten thousand texts have any size.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     found = any(p and Path(p).resolve() == ROOT for p in paths) or Path.cwd().resolve() == ROOT
     application = spark.sparkContext.applicationId

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import ship_code, stored
+from trendloom.llm.common import prepare, stored
 
 # Edges that one task contracts in its memory.
 TASK_EDGES = 250_000
@@ -48,7 +48,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     to the shared folder, minima are pre-aggregated, and joins can be split, so a node with any
     number of edges needs no task for itself.
     """
-    ship_code(edges.sparkSession)
+    prepare(edges.sparkSession)
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
     now = stored(pair, "stars")
     while True:

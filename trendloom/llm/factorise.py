@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import docstats, textkit
-from trendloom.llm.common import in_fold, labelled_sample, ship_code
+from trendloom.llm.common import in_fold, labelled_sample, prepare
 
 SAMPLE = 6000
 FOLDS, HELD = 5, 0
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
     A task turns its documents into bins and numbers; only those of the sample reach the driver.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     chosen = labelled_sample(labels.where(~in_fold(F.col(f"`{id}`"), FOLDS, HELD)), id, label, sample, "factorise")
     rows = _inputs(docs, id, text, length).join(F.broadcast(chosen), "__id").select("__text", "__length", "__id", "__label", "__weight")
 
@@ -161,7 +161,7 @@ def scored(docs: DataFrame, machine: Machine, id: str = "doc_id", text: str = "t
     A null or empty text is scored on its statistics, all zero; a null length counts as zero. Null ids
     and repeated rows are scored like any other.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

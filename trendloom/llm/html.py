@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import ship_code
+from trendloom.llm.common import prepare
 
 SIGMA = 1.0  # of the smoothing, in lines
 THRESHOLD = 0.5  # of the standard deviation of the smoothed ratios
@@ -229,7 +229,7 @@ def extracted(pages: DataFrame, html: str = "html", text: str = "text") -> DataF
     A null or empty page, or one without content, has an empty text. Columns of those names that
     ``pages`` has already are replaced; all others are kept; every row gives one row.
     """
-    ship_code(pages.sparkSession)
+    prepare(pages.sparkSession)
     kept = [c for c in pages.columns if c not in (html, text, "n_chars")]
     rows = pages.select(F.col(f"`{html}`").cast("string").alias("__html"), *[F.col(f"`{c}`") for c in kept])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]), f"`{text}` string", "n_chars long"])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import ship_code, stored, unused
+from trendloom.llm.common import prepare, stored, unused
 from trendloom.llm.components import components
 
 # Sets of one size class differ in size by up to this percentage of the smaller one.
@@ -475,7 +475,7 @@ def near_groups(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text:
     are equal sets; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    ship_code(spark)
+    prepare(spark)
     rows = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"), F.col(f"`{id}`").alias("__id"), row_key(id, text).alias("row_key"))
     id_type = rows.schema["__id"].dataType.simpleString()
     kinds = f"__id {id_type}, row_key binary, n long, short long, digest binary, bin long, times long"

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import in_fold, ship_code
+from trendloom.llm.common import in_fold, prepare
 
 FOLDS, HELD = 4, 2
 BITS = 13
@@ -195,7 +195,7 @@ def train(docs: DataFrame, learn: Column | None = None, id: str = "doc_id", text
     At most ``PER_LANGUAGE`` documents of the ``LANGUAGES`` most frequent languages are sampled, by a
     hash of their id. Without any, the model knows no language.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     pick = ~in_fold(F.col(f"`{id}`"), FOLDS, HELD) if learn is None else learn
     rows = docs.where(pick & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     rows = rows.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{lang}`").cast("string").alias("__lang"), F.col(f"`{id}`").cast("string").alias("__id"))
@@ -263,7 +263,7 @@ def predicted(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "te
     A null or empty text, or one without a letter, is ``und`` with score 0. Null ids and repeated
     rows are predicted like any other; other columns of ``docs`` are not read.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +277,7 @@ def predicted(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "te
 
 def keep_known(docs: DataFrame, model: Model, text: str = "text", at_least: float = KEEP_AT) -> DataFrame:
     """The rows whose language is known with probability ``at_least``, with all their columns."""
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     position = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import ship_code
+from trendloom.llm.common import prepare
 
 # Wordings of public licences and notices, as their authors publish them. ``<…>`` stands
 # for up to twelve words, as a name or a year.
@@ -255,7 +255,7 @@ def licences(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     ones, give no rows; null ids and repeated rows are scanned like any other. Texts without any of
     ``ANCHORS`` never leave the JVM.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
     rows = rows.where(F.col("__text").rlike(f"(?i){ANCHORS}"))
     kind = rows.schema["__id"].dataType.simpleString()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import ship_code, stored
+from trendloom.llm.common import prepare, stored
 
 # Rows of one range of the shuffled order or of finish time, on average; it does not change results.
 RANGE_ROWS = 50_000
@@ -48,7 +48,7 @@ def _add_sizes(position: int):
 
 def sized(docs: DataFrame, id: str, text: str, source: str, carry: Sequence[str] = ()) -> DataFrame:
     """``__id``, ``__source``, the carried columns as ``__c0``…, and ``__size``: the words of the whole text."""
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     chosen = docs.select(
         F.col(f"`{id}`").alias("__id"),
         F.col(f"`{source}`").alias("__source"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import docstats, textkit
-from trendloom.llm.common import in_fold, labelled_sample, ship_code
+from trendloom.llm.common import in_fold, labelled_sample, prepare
 
 # Most labelled rows that training reads, about.
 SAMPLE = 8000
@@ -126,7 +126,7 @@ def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Forest:
     """A forest from about ``sample`` labelled documents outside the held-out fold."""
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     chosen = labelled_sample(labels.where(~in_fold(F.col(f"`{id}`"), FOLDS, HELD)), id, label, sample, "rules")
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
     rows = rows.join(F.broadcast(chosen), "__id").select("__text", "__id", "__label", "__weight")
@@ -151,7 +151,7 @@ def judged(docs: DataFrame, forest: Forest, id: str = "doc_id", text: str = "tex
     A null or empty text has zero counts and fails the base rules. Null ids and repeated rows are
     judged like any other; other columns of ``docs`` are not read.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +170,7 @@ def judged(docs: DataFrame, forest: Forest, id: str = "doc_id", text: str = "tex
 
 def keep_good(docs: DataFrame, forest: Forest, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass base rules and forest, with all their columns."""
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     position = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import ship_code, stored, unused
+from trendloom.llm.common import prepare, stored, unused
 from trendloom.llm.jaccard import row_key, small
 
 SHORTEST = 5
@@ -227,7 +227,7 @@ def contaminated(
     once; other columns are not read.
     """
     spark = docs.sparkSession
-    ship_code(spark)
+    prepare(spark)
     items = benchmark.select(F.col(f"`{item_text}`").cast("string").alias("__text"), row_key(item, item_text).alias("item_key"), F.col(f"`{item}`").alias("__item"))
     item_type = items.schema["__item"].dataType.simpleString()
     seeds = items.mapInArrow(_item_seeds(shortest), f"seed long, times long, length int, words long, item_key binary, __item {item_type}")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import in_fold, labelled_sample, ship_code
+from trendloom.llm.common import in_fold, labelled_sample, prepare
 
 # Most labelled examples, about.
 SAMPLE = 6000
@@ -213,7 +213,7 @@ def build(ids: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndar
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Index:
     """An index of about ``sample`` labelled documents outside the held-out fold."""
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     chosen = labelled_sample(labels.where(~in_fold(F.col(f"`{id}`"), FOLDS, HELD)), id, label, sample, "toxicity")
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
     rows = rows.join(F.broadcast(chosen), "__id").select("__text", "__id", "__label", "__weight")
@@ -256,7 +256,7 @@ def scored(docs: DataFrame, index: Index, id: str = "doc_id", text: str = "text"
     A text without a term of the vocabulary, as a null or empty one, has no neighbours: its score is
     the share of label 1, calibrated. Null ids and repeated rows are scored like any other.
     """
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

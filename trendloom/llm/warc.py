@@ -42,7 +42,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from trendloom.llm.common import ship_code
+from trendloom.llm.common import prepare
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, refers_to string, "
@@ -361,7 +361,7 @@ class WarcReader(DataSourceReader):
 
 def register(spark: SparkSession) -> None:
     """Make the format known to a session, with filter pushdown on."""
-    ship_code(spark)
+    prepare(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
