@@ -29,6 +29,9 @@ LONG = "A long paragraph with many words that tells the story of the page, one a
         (f"<article><p>{LONG}</b></i></p></div><p>more", f"{LONG} more"),
         ("<article><p>a&nbsp;&nbsp;b &lt;p&gt; &unknown; &</p></article>", "a b <p> &unknown; &"),
         ("<script>only code</script><nav>menu</nav>", ""),
+        (f"<div class='page has-sidebar no-ads'><div id=c><p>{LONG}</p><p>B.</p></div><div class=sidebar>x</div></div>", f"{LONG} B."),
+        (f"<nav><a>Home</a><article><p>{LONG}</p></article>", LONG),
+        (f"<div class='widget'><p>{LONG}</p></div>", LONG),
         ("<<<>>> < p <", "<<<>>> < p <"),
     ],
 )

@@ -50,6 +50,8 @@ SKIPPED_WORDS = set(
     "comment comments commentlist reply replies respond discussion disqus share sharing social related recommended recommendations teaser teasers widget widgets copyright disclaimer".split()
 )
 ARTICLE_WORDS = set("article content post entry story main body text".split())
+# A class name with one of these tells of a page's layout, not of the element itself: ``has-sidebar``.
+LAYOUT_WORDS = set("has have with without no not layout page site wrapper container".split())
 
 
 @dataclass
@@ -70,9 +72,14 @@ class Element:
 
 @dataclass
 class Reader(HTMLParser):
-    """Collects the lines of a page that are in no skipped element."""
+    """Collects the lines of a page that are in no skipped element.
+
+    A ``lenient`` reader doesn't go by class and id, and lets an article out of a skipped element that
+    was never closed: it reads the pages that hold nothing else.
+    """
 
     lines: list[Line] = field(default_factory=list)
+    lenient: bool = False
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
@@ -99,12 +106,15 @@ class Reader(HTMLParser):
             return True
         if attrs.get("role", "").lower() in SKIPPED_ROLES and tag not in HEADINGS:
             return True
-        if tag in INLINE or tag in HEADINGS:
+        if tag in INLINE or tag in HEADINGS or self.lenient:
             return False
-        words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()))
-        if words & SKIPPED_WORDS:
-            return True
-        return "header" in words and not words & ARTICLE_WORDS and not within
+        for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+            words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+            if words & LAYOUT_WORDS:
+                continue
+            if words & SKIPPED_WORDS or "header" in words and not words & ARTICLE_WORDS and not within:
+                return True
+        return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         known = {k.lower(): v or "" for k, v in attrs}
@@ -121,7 +131,8 @@ class Reader(HTMLParser):
             for own in CLOSES[tag]:
                 self.end_open({own}, BLOCKERS[tag])
         parent = self.stack[-1] if self.stack else None
-        skipped = bool(parent and parent.skipped) or self.is_skipped(tag, known)
+        freed = self.lenient and tag in ("article", "main") and not any(e.tag in MUTE for e in self.stack)
+        skipped = bool(parent and parent.skipped and not freed) or self.is_skipped(tag, known)
         article = parent.article if parent else 0
         self.count += 1
         if tag == "article" or known.get("itemprop") == "articleBody":
@@ -216,10 +227,13 @@ def main_text(page: str | None) -> str:
     """The article's text: white space inside a block as one space, blocks joined by one space."""
     if not page:
         return ""
-    reader = Reader()
-    reader.feed(page)
-    reader.close()
-    reader.cut()
+    for lenient in (False, True):
+        reader = Reader(lenient=lenient)
+        reader.feed(page)
+        reader.close()
+        reader.cut()
+        if reader.lines:
+            break
     return " ".join(line.text for line in regions(reader.lines))
 
 
