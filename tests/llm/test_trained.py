@@ -167,6 +167,7 @@ def test_language_edge_cases(spark):
     assert sorted((r.doc_id or 0) for r in language.keep_known(odd, model).collect() if r.doc_id != 5) == [0, 6, 6]
     nothing = language.train(plain.documents(spark, [(1, "abc", None), (2, None, "en")]))
     assert [(r.lang_pred, r.score) for r in language.predicted(odd.limit(1), nothing).collect()] == [("und", 0.0)]
+    assert sorted((r.doc_id or 0) for r in language.keep_known(odd, nothing).collect()) == [0, 5, 6, 6]
     assert language.predicted(plain.documents(spark, []), model).count() == 0
 
 

@@ -276,13 +276,21 @@ def predicted(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "te
 
 
 def keep_known(docs: DataFrame, model: Model, text: str = "text", at_least: float = KEEP_AT) -> DataFrame:
-    """The rows whose language is known with probability ``at_least``, with all their columns."""
+    """The rows whose language is known with probability ``at_least``, with all their columns.
+
+    A model that has learned no language rejects only what has no letter.
+    """
     prepare(docs.sparkSession)
     position = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = predict_column(batch.column(position), model)
-            yield batch.filter(pa.array((names != UNKNOWN) & (scores >= at_least)))
+            texts = batch.column(position)
+            if model.languages:
+                names, scores = predict_column(texts, model)
+                kept = (names != UNKNOWN) & (scores >= at_least)
+            else:
+                kept = np.concatenate([has_letter(texts, chunk) for chunk in textkit.chunks(texts)] or [np.zeros(0, bool)])
+            yield batch.filter(pa.array(kept))
 
     return docs.mapInArrow(keep, docs.schema)
