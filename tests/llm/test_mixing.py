@@ -62,6 +62,14 @@ def test_small_sources_are_capped_and_the_rest_is_reshared(spark):
     check(spark, [(i, 10, "big") for i in range(60)] + [(100, 3, "c"), (101, 2, "d"), (102, 1, "e")])
 
 
+def test_a_source_without_turns_left_does_not_end_the_search_for_the_cut(spark):
+    ids = sorted(range(11), key=lambda i: hashlib.md5(f"{mixing.SEED}:{i}".encode()).hexdigest())
+    sizes = [(n, "a") for n in (20, 60, 5000, 200, 1)] + [(n, "b") for n in (1000, 60, 5, 20, 1000, 200)]
+    rows = [(i, *r) for i, r in zip(ids, sizes, strict=True)]
+    check(spark, rows)
+    assert sum(r[4] for r in plain_mix(rows)) == 80 + 6855
+
+
 def test_null_ids_texts_and_sources_and_repeated_rows(spark):
     check(spark, [(None, 5, "a"), (1, None, "a"), (2, 7, None), (2, 7, None), (2, 7, None), (3, 0, "z")])
 

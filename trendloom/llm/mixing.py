@@ -123,6 +123,7 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
         F.sum(F.when(~F.col("__capped"), F.col("__longest"))).alias("lag"),
         F.sum(F.when(~F.col("__capped"), F.col("__target"))).alias("open"),
+        F.coalesce(F.max(F.when(F.col("__target") > 0, (F.col("__words") * MAX_REPEATS).cast("double") / F.col("__target"))), F.lit(0.0)).alias("last"),
     ).first()
     digits = max(2, math.ceil(math.log(max(1, total.rows) / RANGE_ROWS + 1, 16)))
 
@@ -146,18 +147,24 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     placed = with_upto(narrow)
     limit = None
     if total.words:
-        # no serving beyond this time can be inside the budget: by then every source is a document behind at most
-        horizon = 1.0 + (total.lag or 0) / total.open if total.open else 1.0
+        # by this time every source is a document behind at most, so mostly the budget is reached; a source that
+        # has had all its turns can't make up for one behind, so else the range is doubled up to the last serving
+        step = 1.0 + (total.lag or 0) / total.open if total.open else 1.0
         bins = max(1024, 2 * total.rows // RANGE_ROWS)
-        servings = placed.where("__size > 0").select(
+        every = placed.where("__size > 0").select(
             "__size", "__rank", "__order", "__id", "__words", "__target", "__upto",
             F.explode(F.array(*[_place(e) for e in range(MAX_REPEATS)])).alias("__place"),
         )
-        servings = servings.where(F.col("__place.finish") <= horizon).select("__size", "__place")
-        servings = stored(servings.withColumn("__bin", F.floor(F.col("__place.finish") / horizon * bins)), "mix-servings")
-        per_bin = servings.groupBy("__bin").agg(F.sum("__size").alias("__words"))
-        upto_bin = per_bin.withColumn("__upto", F.sum("__words").over(Window.orderBy("__bin")))
-        cut = upto_bin.where(F.col("__upto") > total.words).orderBy("__bin").select("__bin", (F.col("__upto") - F.col("__words")).alias("before")).first()
+        horizon = step
+        while True:
+            servings = every.where(F.col("__place.finish") <= horizon).select("__size", "__place")
+            servings = stored(servings.withColumn("__bin", F.floor(F.col("__place.finish") / step * bins)), "mix-servings")
+            per_bin = servings.groupBy("__bin").agg(F.sum("__size").alias("__words"))
+            upto_bin = per_bin.withColumn("__upto", F.sum("__words").over(Window.orderBy("__bin")))
+            cut = upto_bin.where(F.col("__upto") > total.words).orderBy("__bin").select("__bin", (F.col("__upto") - F.col("__words")).alias("before")).first()
+            if cut is not None or horizon >= total.last:
+                break
+            horizon *= 2
         if cut is not None:
             at = servings.where(F.col("__bin") == cut["__bin"])
             upto = F.sum("__size").over(Window.partitionBy("__bin").orderBy("__place").rowsBetween(Window.unboundedPreceding, 0))
