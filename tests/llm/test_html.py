@@ -39,6 +39,32 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("name", ["post category-social", "post tag-login", "category-promotion", "hentry comments-open"])
+@pytest.mark.parametrize("tag", ["article", "div itemprop=articleBody", "div role=main"])
+def test_articles_are_not_skipped_by_their_classes(name, tag):
+    page = f"<a href='#c'>Skip</a><div>by me</div><{tag} class='{name}'><p>{LONG}</p></{tag.split()[0]}>"
+    assert html.main_text(page) == LONG
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<p>12 May</p><nav><a>Home</a><article><p>{LONG}</p></article>", LONG),
+        (f"<p>12 May</p><aside>see<article><p>{LONG}</p></article>", LONG),
+        (f"<body><p>12 May</p><header><a>Home</a><article><p>{LONG}</p></article></body>", LONG),
+        (f"<p>12 May</p><form><input><article><p>{LONG}</p></article></form>", LONG),
+        (f"<a>Skip</a><form><div id=c><p>{LONG}</p><p>{LONG}</p></div><select><option>one</select></form>", f"{LONG} {LONG}"),
+        (f"<body><a>Skip</a><nav><a>Home</a><div id=c><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG} {LONG}"),
+        (f"<a>Skip</a><div class='widget'><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+        (f"<div id=c><p>{LONG}</p></div><div class=comments><article><p>{LONG * 9}</p></article></div>", LONG),
+        (f"<div id=c><p>{LONG}</p></div><nav>{'<a>a menu of many words</a> ' * 40}</nav><div class=footer>{LONG * 9}</div>", LONG),
+        (f"<article><p>{LONG}</p></article><article class='comment-body'><p>{LONG} mine</p></article>", LONG),
+    ],
+)
+def test_stray_lines_are_not_taken_for_the_article(page, text):
+    assert html.main_text(page) == text
+
+
 def test_lines_cluster_by_smoothed_ratio():
     page = "".join(f"<div><a href=x>l{i}</a></div>" for i in range(12)) + f"<p>{LONG}</p><p>{LONG}</p>" + "".join(f"<div><a>m{i}</a></div>" for i in range(12))
     reader = html.Reader()

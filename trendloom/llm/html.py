@@ -49,9 +49,20 @@ SKIPPED_WORDS = set(
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
     "comment comments commentlist reply replies respond discussion disqus share sharing social related recommended recommendations teaser teasers widget widgets copyright disclaimer".split()
 )
+# Of these, the words of text that isn't the page's own, or about the site: kept out while anything else is left.
+OTHER_WORDS = set(
+    "ad ads advert adverts advertisement advertisements advertising adsense adbox sponsor sponsored menu breadcrumb breadcrumbs pagination pager sidebar footer "
+    "cookie cookies consent gdpr newsletter comment comments commentlist reply replies respond discussion disqus related recommended recommendations teaser teasers copyright disclaimer".split()
+)
+COMMENT_WORDS = {"comment", "reply"}  # the first word of a class that makes an article a reader's comment
 ARTICLE_WORDS = set("article content post entry story main body text".split())
 # A class name with one of these tells of a page's layout, not of the element itself: ``has-sidebar``.
-LAYOUT_WORDS = set("has have with without no not layout page site wrapper container".split())
+LAYOUT_WORDS = set("has have with without no not layout page site wrapper container open closed".split())
+# Elements that pages leave open by mistake; their end tags aren't optional.
+LEFT_OPEN = set("nav header footer aside form menu dialog fieldset".split())
+NO, YES, ALWAYS = 0, 1, 2  # whether an element is skipped; in a lenient reading only what is always skipped holds an article back
+STRICT, LENIENT, LAST = 0, 1, 2
+STRAY = 0.2  # of the page's text outside links: with less of it left than this, the strict reading has only stray lines
 
 
 @dataclass
@@ -66,7 +77,7 @@ class Line:
 class Element:
     tag: str
     number: int
-    skipped: bool
+    skipped: int
     article: int
 
 
@@ -74,12 +85,14 @@ class Element:
 class Reader(HTMLParser):
     """Collects the lines of a page that are in no skipped element.
 
-    A ``lenient`` reader doesn't go by class and id, and lets an article out of a skipped element that
-    was never closed: it reads the pages that hold nothing else.
+    A lenient reader goes by the classes and ids of ``OTHER_WORDS`` only, reads forms and the elements
+    ``opened``, which an earlier reading found never closed, and lets an article out of a skipped
+    element. The last one, for pages that hold nothing else, goes by no class or id.
     """
 
     lines: list[Line] = field(default_factory=list)
-    lenient: bool = False
+    level: int = STRICT
+    opened: frozenset[int] = frozenset()
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
@@ -87,6 +100,9 @@ class Reader(HTMLParser):
         self.count = 0
         self.pieces: list[str] = []
         self.tags = 0
+        self.left_open: set[int] = set()  # skipped elements that were never closed
+        self.kept = self.missed = 0  # characters outside links, read and skipped
+        self.missed_article = False
 
     def cut(self) -> None:
         text = " ".join("".join(self.pieces).split())
@@ -96,25 +112,36 @@ class Reader(HTMLParser):
             self.tags = 0
         self.pieces = []
 
-    def is_skipped(self, tag: str, attrs: dict[str, str]) -> bool:
+    def is_skipped(self, tag: str, attrs: dict[str, str]) -> int:
         if tag in ("html", "body", "main"):
-            return False
+            return NO
         if tag in MUTE:
-            return True
+            return ALWAYS
         within = bool(self.stack and self.stack[-1].article)
+        if self.count + 1 in self.opened or tag == "form" and self.level:
+            return NO
         if tag in SKIPPED and not (tag in ("header", "label") and within):
-            return True
+            return YES
         if attrs.get("role", "").lower() in SKIPPED_ROLES and tag not in HEADINGS:
-            return True
-        if tag in INLINE or tag in HEADINGS or self.lenient:
-            return False
+            return YES
+        if tag in INLINE or tag in HEADINGS or self.level == LAST:
+            return NO
+        marked = is_marked(tag, attrs)
+        found = NO
         for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
-            words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+            if marked:  # classes hold the categories of a post as well
+                if words and words[0] in COMMENT_WORDS:
+                    return ALWAYS
+                continue
+            words = set(words)
             if words & LAYOUT_WORDS:
                 continue
-            if words & SKIPPED_WORDS or "header" in words and not words & ARTICLE_WORDS and not within:
-                return True
-        return False
+            if words & OTHER_WORDS:
+                return ALWAYS
+            if self.level == STRICT and (words & SKIPPED_WORDS or "header" in words and not words & ARTICLE_WORDS and not within):
+                found = YES
+        return found
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         known = {k.lower(): v or "" for k, v in attrs}
@@ -131,8 +158,8 @@ class Reader(HTMLParser):
             for own in CLOSES[tag]:
                 self.end_open({own}, BLOCKERS[tag])
         parent = self.stack[-1] if self.stack else None
-        freed = self.lenient and tag in ("article", "main") and not any(e.tag in MUTE for e in self.stack)
-        skipped = bool(parent and parent.skipped and not freed) or self.is_skipped(tag, known)
+        freed = self.level and (tag == "main" or is_marked(tag, known)) and parent and parent.skipped < ALWAYS
+        skipped = max(parent.skipped if parent and not freed else NO, self.is_skipped(tag, known))
         article = parent.article if parent else 0
         self.count += 1
         if tag == "article" or known.get("itemprop") == "articleBody":
@@ -148,11 +175,16 @@ class Reader(HTMLParser):
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i].tag in tags:
                 self.cut()
-                del self.stack[i:]
+                self.leave(i)
                 return
             if self.stack[i].tag in until:
                 return
 
+    def leave(self, i: int, closed: int = 1) -> None:
+        """Leave the elements from the ``i``-th on; only the first of them was closed."""
+        self.left_open.update(e.number for e in self.stack[i + closed :] if e.skipped and e.tag in LEFT_OPEN)
+        del self.stack[i:]
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, the slash is ignored
 
@@ -164,7 +196,7 @@ class Reader(HTMLParser):
             self.cut()
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self.leave(i)
                 return
             if tag in INLINE and self.stack[i].tag not in INLINE:
                 return
@@ -172,13 +204,37 @@ class Reader(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.stack:
             top = self.stack[-1]
+            if top.skipped == ALWAYS:
+                return
+            size = 0 if any(e.tag == "a" for e in self.stack) else len("".join(data.split()))
             if top.skipped:
+                self.missed += size
+                self.missed_article |= bool(size and top.article)
                 return
-            inside_header = next((i for i, e in enumerate(self.stack) if e.tag == "header"), None)
-            if inside_header is not None and not any(e.tag in HEADINGS for e in self.stack[inside_header:]):
+            own_header = next((i for i, e in enumerate(self.stack) if e.tag == "header" and e.article), None)
+            if own_header is not None and not any(e.tag in HEADINGS for e in self.stack[own_header:]):
                 return  # of an article's own header only its headings count
+            self.kept += size
         self.pieces.append(data)
 
+    def read(self, page: str) -> Reader:
+        self.feed(page)
+        self.close()
+        self.cut()
+        self.leave(0, 0)
+        return self
+
+    @property
+    def is_stray(self) -> bool:
+        """Whether the lines may be no more than what stands around the article."""
+        if any(line.article > 0 for line in self.lines):
+            return False
+        return self.missed_article or self.kept < STRAY * (self.kept + self.missed)
+
+
+def is_marked(tag: str, attrs: dict[str, str]) -> bool:
+    return tag == "article" or attrs.get("itemprop") == "articleBody" or attrs.get("role") == "main"
+
 
 def ratios(lines: list[Line]) -> np.ndarray:
     """Characters of each line to its tags, smoothed over the neighbouring lines."""
@@ -227,14 +283,17 @@ def main_text(page: str | None) -> str:
     """The article's text: white space inside a block as one space, blocks joined by one space."""
     if not page:
         return ""
-    for lenient in (False, True):
-        reader = Reader(lenient=lenient)
-        reader.feed(page)
-        reader.close()
-        reader.cut()
-        if reader.lines:
-            break
-    return " ".join(line.text for line in regions(reader.lines))
+    strict = Reader().read(page)
+    text = " ".join(line.text for line in regions(strict.lines))
+    if not strict.lines or strict.is_stray:
+        lenient = Reader(level=LENIENT, opened=frozenset(strict.left_open)).read(page)
+        wider = " ".join(line.text for line in regions(lenient.lines))
+        if len(text) < len(wider) / 2:
+            return wider
+    if not text:
+        last = Reader(level=LAST, opened=frozenset(strict.left_open)).read(page)
+        text = " ".join(line.text for line in regions(last.lines))
+    return text
 
 
 def extracted(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
