@@ -65,6 +65,24 @@ def test_stray_lines_are_not_taken_for_the_article(page, text):
     assert html.main_text(page) == text
 
 
+MENU = "".join(f"<div><a href=x>l{i}</a></div>" for i in range(9))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div><div>{f'<p>{LONG}</p>' * 9}</div><div><p>{LONG} last</p><p>End.</p></div></div>", f"{' '.join([LONG] * 9)} {LONG} last End."),
+        (f"{MENU}<div><h1>The title</h1></div><div>{f'<p>{LONG}</p>' * 9}</div>{MENU}", f"The title {' '.join([LONG] * 9)}"),
+        (f"{MENU}<section><p>{LONG} lead</p></section><div>{f'<p>{LONG}</p>' * 9}</div><div>by me</div><section><p>{LONG}</p><p>B.</p></section>{MENU}", f"{LONG} lead {' '.join([LONG] * 9)} by me {LONG} B."),
+        (f"<table><tr><td>{f'<p>{LONG}</p>' * 9}<td><p>{LONG} last</p></table>{MENU}", f"{' '.join([LONG] * 9)} {LONG} last"),
+        (f"{MENU}<div>{f'<p>{LONG}</p>' * 9}</div>{MENU}", " ".join([LONG] * 9)),
+        (f"<div>{f'<p>{LONG}</p>' * 5}<p>{LONG * 60}</p></div><div><p>{LONG}</p></div>", f"{' '.join([LONG] * 5)} {LONG * 60} {LONG}"),
+    ],
+)
+def test_articles_in_several_elements(page, text):
+    assert html.main_text(page) == text
+
+
 def test_lines_cluster_by_smoothed_ratio():
     page = "".join(f"<div><a href=x>l{i}</a></div>" for i in range(12)) + f"<p>{LONG}</p><p>{LONG}</p>" + "".join(f"<div><a>m{i}</a></div>" for i in range(12))
     reader = html.Reader()

@@ -25,7 +25,7 @@ from trendloom.llm.common import prepare
 
 SIGMA = 1.0  # of the smoothing, in lines
 THRESHOLD = 0.5  # of the standard deviation of the smoothed ratios
-SHARE = 0.8  # of the content cluster's text that the region must hold, where no element is marked as article
+OUTLIER = 0.25  # of the cluster's median ratio: lines below it don't widen the region, where no element is marked as article
 OUT_CHARS = 8 << 20  # characters of a result batch
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,6 +71,7 @@ class Line:
     tags: int
     path: tuple[int, ...]
     article: int  # the element that is marked as an article, or 0
+    heading: bool = False
 
 
 @dataclass
@@ -108,7 +109,8 @@ class Reader(HTMLParser):
         text = " ".join("".join(self.pieces).split())
         if text:
             path = tuple(e.number for e in self.stack if e.tag in CONTAINERS)
-            self.lines.append(Line(text, self.tags, path, self.stack[-1].article if self.stack else 0))
+            heading = any(e.tag in HEADINGS for e in self.stack)
+            self.lines.append(Line(text, self.tags, path, self.stack[-1].article if self.stack else 0, heading))
             self.tags = 0
         self.pieces = []
 
@@ -251,6 +253,17 @@ def content_lines(lines: list[Line]) -> np.ndarray:
     return (smooth >= THRESHOLD * smooth.std()) | (smooth == smooth.max())
 
 
+def outliers(lines: list[Line], chosen: np.ndarray) -> np.ndarray:
+    """Lines that are in the cluster by their neighbours only; a heading before a line of the cluster's own isn't one."""
+    raw = np.array([len(line.text) / max(1, line.tags) for line in lines])
+    low = raw < OUTLIER * np.median(raw[chosen])
+    for i in range(len(lines) - 2, -1, -1):
+        if lines[i].heading and chosen[i + 1] and not low[i + 1]:
+            low[i] = False
+    low[np.flatnonzero(chosen)[raw[chosen].argmax()]] = False
+    return low
+
+
 def regions(lines: list[Line]) -> list[Line]:
     """All lines of the elements that hold the content cluster."""
     if not lines:
@@ -261,22 +274,20 @@ def regions(lines: list[Line]) -> list[Line]:
             held = {line.article for line, c in zip(lines, chosen, strict=True) if marked(line.article) and c}
             held = held or {line.article for line in lines if marked(line.article)}
             return [line for line in lines if line.article in held]
-    weights: dict[int, int] = {}
-    total = 0
-    for line, c in zip(lines, chosen, strict=True):
-        if c:
-            total += len(line.text)
-            for number in line.path:
-                weights[number] = weights.get(number, 0) + len(line.text)
-    # the innermost element with enough of the cluster; numbers rise inwards along a path
-    inner = max((n for n, w in weights.items() if w >= SHARE * total), default=None)
+    voters = [line.path for line, c in zip(lines, chosen & ~outliers(lines, chosen), strict=True) if c]
+    # the innermost element that holds all of the cluster
+    depth = next((i for i, held in enumerate(zip(*voters, strict=False)) if len(set(held)) > 1), min(map(len, voters)))
+    inner = voters[0][:depth]
+    own = [line for line in lines if line.path[:depth] == inner]
     # an element that is a single line of several is no region
-    own = [line for line in lines if inner in line.path]
-    if len(own) == 1 and len(lines) > 1:
-        path = own[0].path
-        wider = path[: path.index(inner)]
-        return [line for line in lines if not wider or wider[-1] in line.path]
-    return own if inner is not None else lines
+    if len(own) == 1 and len(lines) > 1 and inner:
+        return [line for line in lines if line.path[: depth - 1] == inner[:-1]]
+    if any(len(path) == depth for path in voters):
+        return own
+    # an article in several elements: from the first to the last of them, with what stands between
+    parts = {path[depth] for path in voters}
+    at = [i for i, line in enumerate(own) if len(line.path) > depth and line.path[depth] in parts]
+    return own[at[0] : at[-1] + 1]
 
 
 def main_text(page: str | None) -> str:
