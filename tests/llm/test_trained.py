@@ -194,6 +194,37 @@ def test_neighbours_are_those_of_all_cosines():
     assert (index.bounds >= index.weights[:, : toxicity.BLOCK].max(axis=1, keepdims=True)).any()
 
 
+def test_all_terms_of_the_examples_count(monkeypatch):
+    random = np.random.default_rng(7)
+    n, size = 300, 900
+    y = random.integers(0, 2, n)
+    rows = [(np.unique(np.append(random.integers(0, 40, 6), random.integers(0, size, 12))), None) for _ in y]
+    rows = [(terms, random.integers(1, 4, len(terms))) for terms, _ in rows]
+    idf = random.random(size).astype(np.float32) + 0.1
+    every = np.zeros((n, size), np.float32)
+    for i, (terms, counts) in enumerate(rows):
+        every[i, terms] = (1 + np.log(counts)) * idf[terms]
+    every /= np.linalg.norm(every, axis=1, keepdims=True)
+    want = -np.sort(-(every @ every.T), axis=1)[:, : toxicity.NEIGHBOURS]
+    for head in (0, 30, size):
+        monkeypatch.setattr(toxicity, "HEAD", head)
+        index = toxicity.build(np.arange(n), rows, y, np.ones(n), toxicity.Vocabulary(np.arange(size)), idf)
+        owner = np.repeat(np.arange(n), [len(t) for t, _ in rows])
+        cosines, places = index.search(owner, np.concatenate([t for t, _ in rows]), np.concatenate([c for _, c in rows]), n)
+        assert np.allclose(cosines, want, atol=1e-5) and (index.ids[places[:, 0]] == np.arange(n)).all()
+
+
+def test_words_of_few_examples_find_them(spark):
+    train = [(i, " ".join(f"{'bad' if i % 2 else 'kind'}{(i * 7 + j) % 400:03}" for j in range(12))) for i in range(1000)]
+    docs, labels = plain.documents(spark, train), labels_of(spark, [(i, 1, i % 2) for i, _ in train])
+    rare = plain.documents(spark, [(5001, "zzqq1"), (5002, "zzqq1")])
+    marked = labels_of(spark, [(i, 1, i % 2) for i, _ in train] + [(5001, 1, 1), (5002, 1, 1)])
+    index = toxicity.train(docs.union(rare), marked)
+    assert len(index.vocabulary) > 800
+    (row,) = toxicity.scored(plain.documents(spark, [(1, "zzqq1")]), index).collect()
+    assert row.evidence and row.evidence.split(":")[0] in ("5001", "5002")
+
+
 def test_terms_are_words_and_their_beginnings_in_any_case():
     (chunk,) = textkit.chunks(pa.array(["Abcdefgh, abcd ABCDefgh x", "abcdx"]))
     documents, terms, counts = toxicity._counted(*toxicity._terms(chunk))

@@ -1,12 +1,14 @@
 """Toxicity by votes of the nearest labelled examples.
 
-Texts are TF-IDF vectors over a vocabulary of terms, words and beginnings of words, known by 64-bit
-fingerprints: the ``VOCABULARY`` terms whose presence depends most on the label in a bounded sample
-of examples (chi-square). Document frequencies cover all documents. Examples are kept in an inverted index cut into blocks of ``BLOCK`` similar ones;
-each term has a largest weight per block. The sum of a text's weights times these bounds the cosine
-to any example of a block, so a block is left out once that bound is below the text's k-th best
-cosine: the neighbours are exact. Their votes, weighted by cosine, are turned into a probability by
-a logistic curve fitted to the examples' own votes, each without itself.
+Texts are TF-IDF vectors over all terms, words and beginnings of words, of a bounded sample of examples,
+known by 64-bit fingerprints. A term weighs more the more its presence depends on the label in the
+sample (root of chi-square). Document frequencies cover all documents. Examples are kept in an
+inverted index: the postings of all terms but the ``HEAD`` most frequent ones, which are kept as a matrix cut into
+blocks of ``BLOCK`` similar examples; each of these terms has a largest weight per block. A text's cosines over the
+postings, and the sum of its other weights times these bounds, bound the cosine to any example of a
+block, so a block is left out if that is below what the text's k-th best cosine is at least: the
+neighbours are exact. Their votes, weighted by cosine, are turned into a probability by a logistic curve fitted to
+the examples' own votes, each without itself.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from trendloom.llm.common import in_fold, labelled_sample, prepare
 SAMPLE = 6000
 FOLDS, HELD = 5, 0
 BEGINNINGS = (4, 5, 6)  # bytes, of longer words
-VOCABULARY = 512
-FEWEST = 5  # examples that hold a term of the vocabulary
+HEAD = 2048  # terms kept as a matrix; it does not change results
+FLOOR = 1e-3  # weight of a term whose presence tells nothing of the label; others have the root of chi-square more
 NEIGHBOURS = 31
 BLOCK = 64
 GROUP = 256  # texts searched at once
@@ -59,40 +61,59 @@ def _counted(documents: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Vocabulary:
-    """Sorted fingerprints of the terms, looked up behind a small table of their first bits."""
+    """Sorted fingerprints of the terms, looked up from the first place of their first bits."""
 
     def __init__(self, terms: np.ndarray):
         self.terms = np.sort(terms.astype(np.uint64))
-        self.first = np.zeros(1 << 16, dtype=bool)
-        self.first[(self.terms >> np.uint64(48)).astype(np.int64)] = True
+        bits = max(16, len(self.terms).bit_length() + 2)
+        self.shift = np.uint64(64 - bits)
+        sizes = np.bincount((self.terms >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.append(0, np.cumsum(sizes)).astype(np.int32)
 
     def __len__(self) -> int:
         return len(self.terms)
 
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each fingerprint, or -1."""
+        bucket = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            same = self.terms[at[left]] == hashes[left]
+            out[left[same]] = at[left[same]]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
+
     def counts(self, chunk: textkit.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms of the vocabulary in each document, ascending: document, place, count."""
         documents, hashes = _terms(chunk)
-        hit = np.flatnonzero(self.first[(hashes >> np.uint64(48)).astype(np.int64)])
-        places = np.searchsorted(self.terms, hashes[hit])
-        known = places < len(self.terms)
-        known[known] = self.terms[places[known]] == hashes[hit][known]
-        return _counted(documents[hit][known], places[known])
+        places = self.places(hashes)
+        hit = places >= 0
+        size = max(1, len(self))
+        keys = np.sort(documents[hit].astype(np.int64) * size + places[hit])
+        at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        return keys[at] // size, keys[at] % size, np.diff(np.append(at, len(keys)))
 
 
-def choose_vocabulary(examples: DataFrame) -> np.ndarray:
-    """The terms of largest chi-square between presence and label; ties go to the smaller fingerprint.
+def choose_vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All terms of the examples, ascending, and the chi-square between presence and label of each.
 
     ``examples`` has ``__label`` and ``terms``, the distinct terms of each example. Terms are counted by
-    Spark, and only the chosen ones reach the driver.
+    Spark; as many reach the driver as the bounded sample has.
     """
     sizes = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("__label"), F.lit(0)).alias("ones")).first()
     n, ones = float(sizes.n), float(sizes.ones)
     counted = examples.select(F.col("__label").cast("double").alias("y"), F.explode("terms").alias("term"))
     counted = counted.groupBy("term").agg(F.sum("y").alias("a"), F.count("*").cast("double").alias("b"))
     spread = F.col("b") * (n - F.col("b")) * ones * (n - ones)
-    chi = F.when(spread > 0, n * F.pow(F.col("a") * n - F.col("b") * ones, F.lit(2.0)) / spread)
-    chosen = counted.where(F.col("b") >= FEWEST).withColumn("chi", chi).where("chi > 0").orderBy(F.desc("chi"), "term").limit(VOCABULARY)
-    return chosen.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64)
+    chi = F.when(spread > 0, n * F.pow(F.col("a") * n - F.col("b") * ones, F.lit(2.0)) / spread).otherwise(0.0)
+    found = counted.select("term", chi.alias("chi")).toArrow()
+    terms = found["term"].to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    return terms[order], found["chi"].to_numpy()[order]
 
 
 def frequencies(docs: DataFrame, text: str, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
@@ -105,22 +126,32 @@ def frequencies(docs: DataFrame, text: str, vocabulary: Vocabulary) -> tuple[int
             total += batch.num_rows
             for chunk in textkit.chunks(batch.column(0)):
                 sums += np.bincount(vocabulary.counts(chunk)[1], minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(size), -1)), pa.array(np.append(sums, total))], names=["term", "n"])
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(sums[some], total))], names=["term", "n"])
 
     found = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "term long, n long")
-    rows = found.groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    rows = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    terms, times = rows["term"].to_numpy(), rows["n"].to_numpy()
     sums = np.zeros(size, dtype=np.int64)
-    inner = rows[rows["term"] >= 0]
-    sums[inner["term"].to_numpy()] = inner["n"].to_numpy()
-    return int(rows.loc[rows["term"] < 0, "n"].sum()), sums[: len(vocabulary)]
+    sums[terms[terms >= 0]] = times[terms >= 0]
+    return int(times[terms < 0].sum()), sums[: len(vocabulary)]
 
 
 @dataclass
 class Index:
-    """Examples by blocks: ``weights[term, example]`` and ``bounds[term, block]``."""
+    """Examples by blocks: ``weights[term, example]`` and ``bounds[term, block]`` of the terms in ``head``.
+
+    ``slots`` has the place of a term in ``head``, or -1; ``starts`` cuts the postings ``examples`` and
+    ``values`` of the others by term.
+    """
 
     vocabulary: Vocabulary
-    idf: np.ndarray
+    idf: np.ndarray  # times the relevance of the term
+    head: np.ndarray
+    slots: np.ndarray
+    starts: np.ndarray
+    examples: np.ndarray
+    values: np.ndarray
     weights: np.ndarray
     bounds: np.ndarray
     labels: np.ndarray
@@ -130,36 +161,66 @@ class Index:
     curve: tuple[float, float] = (1.0, 0.0)
 
     def vectors(self, documents: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-        x = np.zeros((n, len(self.idf)), dtype=np.float32)
-        x[documents, terms] = (1 + np.log(counts)) * self.idf[terms]
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-
-    def nearest(self, x: np.ndarray, itself: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The weight of each term in its document; a document's vector has length 1."""
+        x = (1 + np.log(counts)) * self.idf[terms]
+        length = np.sqrt(np.bincount(documents, weights=x * x, minlength=n))
+        return (x / np.maximum(length[documents], 1e-9)).astype(np.float32)
+
+    def split(self, documents: np.ndarray, terms: np.ndarray, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors over the head, and cosines with all examples over the postings of the other terms."""
+        slots = self.slots[terms]
+        frequent = slots >= 0
+        inner = np.zeros((n, len(self.head)), dtype=np.float32)
+        inner[documents[frequent], slots[frequent]] = x[frequent]
+        documents, terms, x = documents[~frequent], terms[~frequent], x[~frequent]
+        rest = np.zeros((n, self.weights.shape[1]), dtype=np.float32)
+        cuts = np.searchsorted(documents, np.arange(n + 1))
+        for row, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if a == b:
+                continue
+            first = self.starts[terms[a:b]]
+            sizes = self.starts[terms[a:b] + 1] - first
+            at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            rest[row] = np.bincount(self.examples[at], weights=np.repeat(x[a:b], sizes) * self.values[at], minlength=rest.shape[1])
+        return inner, rest
+
+    def search(self, documents: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, itself: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest examples of ``n`` texts, given by their terms in ascending order of documents."""
+        inner, rest = self.split(documents, terms, self.vectors(documents, terms, counts, n), n)
+        return self.nearest(inner, itself, rest)
+
+    def nearest(self, x: np.ndarray, itself: np.ndarray | None = None, rest: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Cosines and places of the ``NEIGHBOURS`` nearest examples, best first; 0 and -1 beyond them.
 
-        ``itself`` is an example to leave out for each row. Blocks go in the order of their bound for
-        the whole batch; a row takes part in a block only while the bound exceeds its k-th best.
+        ``x`` are vectors over the head, ``rest`` the cosines over all other terms. ``itself`` is an
+        example to leave out for each row. A block is left out where its bound is below the least that
+        the k-th best can be, for all rows of the batch.
         """
-        n, blocks = len(x), self.bounds.shape[1]
+        n, size = len(x), self.weights.shape[1]
         best = np.zeros((n, NEIGHBOURS), dtype=np.float32)
         where = np.full((n, NEIGHBOURS), -1, dtype=np.int64)
-        if not blocks:
+        if not size:
             return best, where
-        bound = x @ self.bounds + np.float32(1e-5)
-        for block in np.argsort(-bound.max(axis=0), kind="stable"):
-            rows = np.flatnonzero(bound[:, block] > np.maximum(best[:, -1], 2e-5))
-            if not len(rows):
-                continue
-            low = block * BLOCK
-            cosines = x[rows] @ self.weights[:, low : low + BLOCK]
-            places = np.broadcast_to(np.arange(low, low + cosines.shape[1]), cosines.shape)
-            if itself is not None:
-                cosines = np.where(places == itself[rows][:, None], 0, cosines)
-            cosines = np.concatenate([best[rows], cosines], axis=1)
-            places = np.concatenate([where[rows], places], axis=1)
-            order = np.argsort(-cosines, axis=1, kind="stable")[:, :NEIGHBOURS]
-            best[rows] = np.take_along_axis(cosines, order, axis=1)
-            where[rows] = np.take_along_axis(places, order, axis=1)
+        cosines = np.zeros((n, size), dtype=np.float32) if rest is None else rest.copy()
+        if itself is not None:
+            cosines[np.arange(n), itself] = 0
+        k = min(NEIGHBOURS, size)
+        # no weight is negative, so a row's k-th best is at least that of the other terms alone
+        least = np.partition(cosines, size - k, axis=1)[:, size - k]
+        bound = x @ self.bounds + np.float32(1e-5) + np.maximum.reduceat(cosines, np.arange(0, size, BLOCK), axis=1)
+        blocks = (bound > np.maximum(least, 2e-5)[:, None]).any(axis=0)
+        if blocks.all():
+            cosines += x @ self.weights
+        else:
+            some = np.flatnonzero(np.repeat(blocks, BLOCK)[:size])
+            cosines[:, some] += x @ self.weights[:, some]
+        if itself is not None:
+            cosines[np.arange(n), itself] = 0
+        top = np.sort(np.argpartition(cosines, size - k, axis=1)[:, size - k :], axis=1)
+        found = np.take_along_axis(cosines, top, axis=1)
+        order = np.argsort(-found, axis=1, kind="stable")
+        best[:, :k] = np.take_along_axis(found, order, axis=1)
+        where[:, :k] = np.take_along_axis(top, order, axis=1)
         where[best <= 0] = -1
         return best, where
 
@@ -192,22 +253,47 @@ def build(ids: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndar
     """The index over examples given as (terms, counts); examples without a term have no postings."""
     size, n = len(idf), len(y)
     share = float((weight @ y + 1) / (weight.sum() + 2)) if n else 0.5
-    index = Index(vocabulary, idf, np.zeros((size, 0), np.float32), np.zeros((size, 0), np.float32), np.zeros(1), np.ones(1), np.zeros(1, object), share)
+    none, empty = np.zeros(0, np.int64), np.zeros((0, 0), np.float32)
+    index = Index(vocabulary, idf, none, np.full(size, -1), np.zeros(size + 1, np.int64), none, np.zeros(0, np.float32), empty, empty, np.zeros(1), np.ones(1), np.zeros(1, object), share)
     if not n:
         return index
-    owner = np.repeat(np.arange(n), [len(t) for t, _ in rows])
-    x = index.vectors(owner, np.concatenate([t for t, _ in rows]).astype(np.int64), np.concatenate([c for _, c in rows]).astype(float), n)
+    terms, counts = np.concatenate([t for t, _ in rows]).astype(np.int32), np.concatenate([c for _, c in rows]).astype(np.float32)
+    owner = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in rows])
+    x = index.vectors(owner, terms, counts, n)
     # similar examples into one block: by label, then by their heaviest terms
-    heavy = np.argsort(-x, axis=1, kind="stable")[:, :2]
-    order = np.lexsort((heavy[:, 1], heavy[:, 0], y)) if size > 1 else np.argsort(y, kind="stable")
-    x, index.labels, index.ids = x[order], y[order].astype(float), ids[order]
+    heavy = np.zeros((n, 2), dtype=np.int64)
+    by_weight = np.lexsort((terms, -x, owner))
+    sizes = np.bincount(owner, minlength=n)
+    first = np.cumsum(sizes) - sizes
+    for i in (0, 1):
+        at = by_weight[first[sizes > i] + i]
+        heavy[owner[at], i] = terms[at]
+    del by_weight
+    order = np.lexsort((heavy[:, 1], heavy[:, 0], y))
+    place = np.empty(n, dtype=np.int64)
+    place[order] = np.arange(n)
+    index.labels, index.ids = y[order].astype(float), ids[order]
     # each label votes as it would if the examples were a plain sample
     index.vote_weights = (weight / weight.max())[order] ** 0.5
-    index.weights = np.ascontiguousarray(x.T)
-    starts = np.arange(0, n, BLOCK)
-    index.bounds = np.maximum.reduceat(index.weights, starts, axis=1) if size else np.zeros((0, len(starts)), np.float32)
-    cosines, places = index.nearest(x, np.arange(n))
-    index.curve = fit_curve(index.votes(cosines, places), index.labels, (weight / weight.mean())[order])
+    found = np.bincount(terms, minlength=size)
+    index.head = np.sort(np.argsort(-found, kind="stable")[:HEAD])
+    index.slots[index.head] = np.arange(len(index.head))
+    slots = index.slots[terms]
+    frequent = slots >= 0
+    index.weights = np.zeros((len(index.head), n), dtype=np.float32)
+    index.weights[slots[frequent], place[owner[frequent]]] = x[frequent]
+    blocks = np.arange(0, n, BLOCK)
+    index.bounds = np.maximum.reduceat(index.weights, blocks, axis=1) if size else np.zeros((0, len(blocks)), np.float32)
+    rare = np.flatnonzero(~frequent)
+    rare = rare[np.lexsort((place[owner[rare]], terms[rare]))]
+    index.examples, index.values = place[owner[rare]].astype(np.int32), x[rare]
+    index.starts = np.append(0, np.cumsum(np.bincount(terms[rare], minlength=size)))
+    votes = np.zeros(n)  # in the order given
+    for low in range(0, n, GROUP):
+        some = min(GROUP, n - low)
+        a, b = np.searchsorted(owner, [low, low + some])
+        votes[low : low + some] = index.votes(*index.search(owner[a:b] - low, terms[a:b], counts[a:b], some, place[low : low + some]))
+    index.curve = fit_curve(votes, y.astype(float), weight / weight.mean())
     return index
 
 
@@ -227,7 +313,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
                 lists += [terms[a:b].view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(lists, pa.list_(pa.int64()))], names=["__label", "terms"])
 
-    vocabulary = Vocabulary(choose_vocabulary(rows.mapInArrow(all_terms, "__label int, terms array<long>")))
+    terms, chi = choose_vocabulary(rows.mapInArrow(all_terms, "__label int, terms array<long>"))
+    vocabulary = Vocabulary(terms)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,17 +330,18 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     id_type = chosen.schema["__id"].dataType.simpleString()
     found = rows.mapInArrow(featurise, f"__id {id_type}, __label int, __weight double, places array<int>, counts array<int>")
     one = found.groupBy("__id").agg(F.min(F.struct("places", "counts", "__label", "__weight")).alias("r")).select("__id", "r.*")
-    got = one.orderBy("__id").toPandas()
+    got = one.orderBy("__id").toArrow()  # numbers stay packed: an example has hundreds of terms
     total, counted = frequencies(docs, text, vocabulary)
-    idf = np.log((total + 1) / (counted + 1)).astype(np.float32) + np.float32(1e-3)
-    examples = [(np.asarray(p, dtype=np.int64), np.asarray(c)) for p, c in zip(got["places"], got["counts"], strict=True)]
-    return build(got["__id"].to_numpy(object), examples, got["__label"].to_numpy(np.int64), got["__weight"].to_numpy(float), vocabulary, idf)
+    idf = ((np.log((total + 1) / (counted + 1)) + 1e-3) * (np.sqrt(chi) + FLOOR)).astype(np.float32)
+    examples = [(p.values.to_numpy(), c.values.to_numpy()) for p, c in zip(got["places"], got["counts"], strict=True)]
+    ids = np.array(got["__id"].to_pylist(), dtype=object)
+    return build(ids, examples, got["__label"].to_numpy().astype(np.int64), got["__weight"].to_numpy(), vocabulary, idf)
 
 
 def scored(docs: DataFrame, index: Index, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``score`` (0 to 1), ``predicted``, and ``evidence``: the nearest examples as text.
 
-    A text without a term of the vocabulary, as a null or empty one, has no neighbours: its score is
+    A text without a term of any example, as a null or empty one, has no neighbours: its score is
     the share of label 1, calibrated. Null ids and repeated rows are scored like any other.
     """
     prepare(docs.sparkSession)
@@ -267,7 +355,7 @@ def scored(docs: DataFrame, index: Index, id: str = "doc_id", text: str = "text"
                 for at in range(0, chunk.n, GROUP):
                     n = min(GROUP, chunk.n - at)
                     a, b = np.searchsorted(documents, [at, at + n])
-                    cosines, places = index.nearest(index.vectors(documents[a:b] - at, terms[a:b], counts[a:b], n))
+                    cosines, places = index.search(documents[a:b] - at, terms[a:b], counts[a:b], n)
                     scores[chunk.first + at : chunk.first + at + n] = index.calibrated(index.votes(cosines, places))
                     for c, p in zip(cosines[:, :EVIDENCE], places[:, :EVIDENCE], strict=True):
                         evidence.append(" ".join(f"{index.ids[j]}:{v:.3f}" for v, j in zip(c, p, strict=True) if j >= 0))
