@@ -66,6 +66,15 @@ def test_every_known_sentence_is_found_and_has_an_anchor():
     assert {part.rstrip("?") for _, rule in licences.RULES for part in rule} == set(licences.SENTENCES)
 
 
+def test_wrapped_anchors_and_sentences_with_many_marks(spark, monkeypatch):
+    texts = ["All rights\nreserved.", "All  rights  reserved.", "// All rights\n// reserved."]
+    docs = plain.documents(spark, list(enumerate(texts)))
+    assert [r.doc_id for r in licences.licences(docs).orderBy("doc_id").collect()] == [0, 1, 2]
+    monkeypatch.setitem(licences.EXACT, "one two three four five", "MANY")
+    monkeypatch.setattr(licences, "STARTS", (*licences.STARTS, "one two thre"))
+    assert licences.sentences("One. Two. Three. Four. Five. Six.")[0][0] == "MANY"
+
+
 def test_rows(spark):
     text = "Released under the MIT License."
     docs = plain.documents(spark, [(1, text), (1, text), (None, text), (2, None), (3, ""), (4, "word " * 200_000 + "\n" + text)], "licence begin sentences")

@@ -152,7 +152,9 @@ RULES = [
 INCOMPLETE = "incomplete"
 
 # Every known sentence holds one of these, so a text without any has no licence sentence.
-ANCHORS = "licen|copyright|permission|warrant|public domain|redistribut|rights reserved|creative commons|liable"
+# Between the words of one may stand what `normalised` joins, and the mark of a line.
+_GAP = r"[^a-z0-9]+(?:[0-9]{1,2}[.)][^a-z0-9]*)?"
+ANCHORS = f"licen|copyright|permission|warrant|public{_GAP}domain|redistribut|rights{_GAP}reserved|creative{_GAP}commons|liable"
 
 _NOT_WORD = re.compile(r"[^a-z0-9]+")
 _MARKS = re.compile(r"^[ \t]*(?://+|#+|/?\*+/?|;+|--+|>+|\(?\d{1,2}[.)]|[-•])?[ \t]*", re.M)
@@ -179,6 +181,9 @@ def _known() -> tuple[dict[str, str], list[tuple[re.Pattern, str]]]:
 
 
 EXACT, PATTERNS = _known()
+# How known sentences begin: most places of a text need no look at their ends.
+START = 12
+STARTS = tuple({normalised(s.split("<…>")[0])[:START] for names in SENTENCES.values() for s in names})
 LONGEST = max(len(s) for names in SENTENCES.values() for s in names) * 2
 
 
@@ -207,9 +212,13 @@ def sentences(text: str) -> list[tuple[str, int, int]]:
     for begin in starts:
         if begin < free or begin >= len(clean):
             continue
+        head = normalised(clean[begin : begin + 64])
+        if len(head) >= START and not head.startswith(STARTS):
+            continue
         at = bisect_right(strong, begin)
         line = breaks[bisect_right(breaks, begin)]
-        for end in dict.fromkeys([*strong[at : at + 3], line]):
+        near = strong[at : max(at + 1, bisect_right(strong, begin + LONGEST))]
+        for end in dict.fromkeys([*near[:3], line, *near[3:]]):
             name = identify(clean[begin:end])
             if name is not None:
                 out.append((name, begin, end))
