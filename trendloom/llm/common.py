@@ -80,3 +80,11 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, also where the table has others that differ from them only in case."""
+    lower = [c.lower() for c in df.columns]
+    places = [df.columns.index(n) if n in df.columns else lower.index(n.lower()) for n in names]
+    numbered = df.toDF(*[f"c{i}" for i in range(len(lower))])
+    return numbered.select(*[F.col(f"c{i}").alias(n) for i, n in zip(places, names, strict=True)])

@@ -58,3 +58,45 @@ SELECT page_id, payload_bytes, p.payload_digest,
        CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM payloads p LEFT JOIN firsts f USING (payload_digest)
 """
+
+ORACLE["op12_filter_audit"] = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents
+), marked AS (
+    SELECT part, doc_id,
+           CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 16 ELSE 0 END AS fails
+    FROM texts
+), known AS (
+    SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS bad FROM labels GROUP BY doc_id
+), sets AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+    FROM marked LEFT JOIN known USING (doc_id) GROUP BY part, fails
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps AS (
+    SELECT filter_order, CAST(step AS INTEGER) AS step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+           CAST(coalesce(list_sum([1 << (ascii(x) - 65) FOR x IN string_split(filter_order[1:step - 1], '') IF x <> '']), 0) AS BIGINT) AS before
+    FROM orders, range(1, 6) AS s(step)
+), counted AS (
+    SELECT part, filter_order, step, bit,
+           coalesce(sum(n) FILTER ((fails & (before | bit)) = 0), 0) AS kept,
+           coalesce(sum(n) FILTER ((fails & before) = 0 AND (fails & bit) <> 0), 0) AS removed,
+           coalesce(sum(n) FILTER ((fails & before) <> 0 AND (fails & bit) <> 0), 0) AS redundant,
+           coalesce(sum(n) FILTER (fails = bit), 0) AS unique_fails,
+           coalesce(sum(good) FILTER ((fails & before) = 0 AND (fails & bit) <> 0), 0) AS good_lost,
+           coalesce(sum(bad) FILTER ((fails & before) = 0 AND (fails & bit) <> 0), 0) AS toxic_lost
+    FROM sets, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import factorise, html, jaccard, language, licences, mixing, rules, tiling, toxicity, warc
+from trendloom.llm import factorise, filters, html, jaccard, language, licences, mixing, rules, tiling, toxicity, warc
 from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
@@ -95,3 +95,8 @@ def op9_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 def op10_contamination(spark: SparkSession, folder: str) -> DataFrame:
     pairs = tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return pairs.drop("row_key")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filters.interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
