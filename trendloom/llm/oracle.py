@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from trendloom.llm.mixing import MAX_REPEATS, SEED, WEIGHTS
+from trendloom.llm.secrets import BASE, RULES
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -59,6 +60,40 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM payloads p LEFT JOIN firsts f USING (payload_digest)
 """
 
+
+def _secrets_sql() -> str:
+    """Pieces between matches and the matches themselves, one rule after the other, as running sums."""
+    found = " UNION ALL ".join(
+        f"""SELECT text, '{r.name}' AS kind, {r.rank} AS rank, {r.least} AS least,
+                   unnest(range(len(regexp_extract_all(text, {p}))))::BIGINT AS place,
+                   unnest(list_transform(regexp_extract_all(text, {p}), lambda m: length(m))) AS size,
+                   unnest(list_transform(regexp_extract_all(text, {p}, {r.group}), lambda m: length(m))) AS kept,
+                   unnest(list_transform(string_split_regex(text, {p})[:-2], lambda m: length(m))) AS gap
+            FROM texts WHERE regexp_matches(text, {p})"""
+        for r, p in ((r, "'" + r.pattern.replace("'", "''") + "'") for r in RULES)
+    )
+    return f"""
+WITH texts AS (
+    SELECT DISTINCT coalesce(text, '') AS text FROM documents
+), pieces AS (
+    {found}
+), placed AS (
+    SELECT *, CAST(sum(gap + size) OVER (PARTITION BY text, kind ORDER BY place ROWS UNBOUNDED PRECEDING) AS BIGINT) AS e FROM pieces
+), spans AS (
+    SELECT text, kind, rank, e - size AS s, concat(kind, ':', e - size, ':', e) AS span FROM placed WHERE kept >= least
+), per_text AS (
+    SELECT text, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY s, rank) FILTER (rank < {len(BASE)}) AS base, string_agg(span, ',' ORDER BY s, rank) AS spans
+    FROM spans GROUP BY text
+)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN per_text t ON t.text = coalesce(d.text, '')
+"""
+
+
+ORACLE["op11_secret_scan"] = _secrets_sql()
+
 ORACLE["op12_filter_audit"] = rf"""
 WITH texts AS (
     SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import factorise, filters, html, jaccard, language, licences, mixing, rules, tiling, toxicity, warc
+from trendloom.llm import factorise, filters, html, jaccard, language, licences, mixing, rules, secrets, tiling, toxicity, warc
 from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
@@ -97,6 +97,11 @@ def op10_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.drop("row_key")
 
 
+@query
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"), secrets.fresh_ledger(spark))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filters.interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
