@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import factorise, filters, html, jaccard, language, licences, mixing, rules, secrets, tiling, toxicity, warc
+from trendloom.llm import conversations, factorise, filters, html, jaccard, language, licences, mixing, rules, secrets, tiling, toxicity, warc
 from trendloom.llm.common import in_fold
 from trendloom.session import new_folder
 
@@ -105,3 +105,8 @@ def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filters.interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.drill(table(spark, folder, "conversations"))
