@@ -353,6 +353,17 @@ _BODIES = {
         SELECT day, id, CASE WHEN day {_DAYS} THEN 'again ' || title ELSE title END AS title FROM event_posts""",
     "day_slice_scan": f"SELECT day, id, title FROM event_posts WHERE day {_DAYS}",
     "stream_day_files": "SELECT id, 'again ' || title AS title, author, score, created_utc FROM event_posts",
+    "stream_recaptured_day": f"""
+        SELECT id, CASE WHEN day {_DAYS} THEN 'again ' || title ELSE title END AS title, author, score, created_utc,
+               CAST(CASE WHEN day {_DAYS} THEN 2 ELSE 1 END AS BIGINT) AS versions
+        FROM event_posts""",
+    "scan_raw_verbatim": rf"""
+        SELECT strftime(ts, '%Y-%m-%d') AS day, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id) - 1 AS place,
+               CASE event_id % 3
+                   WHEN 0 THEN '{{ "id" : "' || event_id || '","ratio":0.90, "big": 1E+2,' || chr(10) || ' "title":"a \"quoted\" \u00e9 [é] {{"}}'
+                   WHEN 1 THEN '{{"id":"' || event_id || '", "tags":[ ], "path":"c:\\", "user":' || user_id || '}}'
+                   ELSE '{{"id":"' || event_id || '","inner":{{"k":[1.50,{{"]":"}}"}}]}}}}' END AS raw
+        FROM events WHERE strftime(ts, '%Y-%m-%d') {_DAYS}""",
     "seed_terms": """
         SELECT 'Part ' || p_partkey AS tool, p_type AS category, p_name || '|' || lower(p_brand) AS pattern,
                CASE WHEN p_size % 2 = 0 THEN 'hot ' || p_name END AS exclude_pattern

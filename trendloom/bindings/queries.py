@@ -14,8 +14,8 @@ from trendloom.operators import joins, mentions, quality, reconcile, versions, w
 from trendloom.plans import checks, facts, marts, serving, staging
 from trendloom.plans import rebuild as builds
 from trendloom.session import new_folder
-from trendloom.sources import landing, raw_files, tables, terms
-from trendloom.streaming.day_files import stream_day_files
+from trendloom.sources import captures, landing, raw_files, tables, terms
+from trendloom.streaming.day_files import stream_captures, stream_day_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,7 @@ QUERIES: dict[str, Query] = {}
 
 # days of the events, and two load times; plain parameters of the queries below
 FIRST_DAY, LAST_DAY = "2024-01-03", "2024-01-12"
-LOAD_1, LOAD_2 = "2024-03-01 02:00:00", "2024-03-02 02:00:00"
+LOAD_1, LOAD_2, LOAD_3 = "2024-03-01 02:00:00", "2024-03-02 02:00:00", "2024-03-03 02:00:00"
 NOW = "2001-11-06 00:00:00"
 PICKED_FLAIRS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 PICKED_TOOLS = ["Gizmo", "Gear", "Anvil", "Sprocket"]
@@ -133,6 +133,26 @@ def _streamed(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["stream_day_files"] = _streamed
 
 
+@query
+def stream_recaptured_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Day files landed by a stream in three runs: as captured, after some days were captured again
+    under their names, and with nothing changed, which lands nothing.
+
+    Rows are counted with all their versions, and titles are those of the newest.
+    """
+    source, table, checkpoint = (new_folder(spark, n) for n in ("incoming", "streamed", "progress"))
+    rows = t.event_objects(spark, folder).select("day", "event_id", F.to_json("object").alias("raw"))
+    again = rows.where(raw_files.in_day_range(F.col("day"), FIRST_DAY, LAST_DAY))
+    again = again.withColumn("raw", F.regexp_replace("raw", '"title":"', '"title":"again '))
+    for stamp, captured in ((LOAD_1, rows), (LOAD_2, again), (LOAD_3, None)):
+        if captured is not None:
+            captures.write_captures(captured, source, True, "event_id")
+        stream_captures(spark, source, table, checkpoint, lambda raw, s=stamp: landing.land_posts(raw, s)).awaitTermination()
+    versions = tables.read_versions(spark, table)
+    counted = versions.groupBy("id").agg(F.count("*").alias("versions"))
+    return tables.current_state(versions).join(counted, "id").select("id", "title", "author", "score", "created_utc", "versions")
+
+
 # --- JSON and scalars ---------------------------------------------------------------
 
 
@@ -192,6 +212,14 @@ def scan_raw_days(spark: SparkSession, folder: str) -> DataFrame:
     return _scanned(spark, folder, FIRST_DAY, LAST_DAY)
 
 
+@query
+def scan_raw_verbatim(spark: SparkSession, folder: str) -> DataFrame:
+    """Elements of day files, byte for byte as they were captured, in their places."""
+    path = new_folder(spark, "day-files")
+    captures.write_captures(t.verbatim_objects(spark, folder), path, order="event_id")
+    return captures.scan_captured(spark, path, FIRST_DAY, LAST_DAY).select("day", "place", "raw")
+
+
 @query
 def listing_diff(spark: SparkSession, folder: str) -> DataFrame:
     """Events in folders by day, against a copy that lacks a type; the base path stands below itself again."""

@@ -247,6 +247,18 @@ def mixed_arrays(spark: SparkSession, folder: str) -> DataFrame:
     return arrays.select("day", F.concat(F.lit("["), "objects", F.lit("]")).alias("value"))
 
 
+def verbatim_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON objects with spacing, numbers and escapes that a JSON writer would change."""
+    number, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    kind = F.col("event_id") % 3
+    text = (
+        F.when(kind == 0, F.concat(F.lit('{ "id" : "'), number, F.lit('","ratio":0.90, "big": 1E+2,\n "title":"a \\"quoted\\" \\u00e9 [é] {"}')))
+        .when(kind == 1, F.concat(F.lit('{"id":"'), number, F.lit('", "tags":[ ], "path":"c:\\\\", "user":'), user, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"id":"'), number, F.lit('","inner":{"k":[1.50,{"]":"}"}]}}')))
+    )
+    return spread_table(spark, folder, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", text.alias("raw"))
+
+
 # objects per JSON array, which bounds what one group gathers: event ids are unique
 ARRAY_LENGTH = 100_000
 

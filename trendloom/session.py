@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -19,7 +21,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+PACKAGE = Path(__file__).resolve().parent
+
 _scratch: set[str] = set()
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,6 +52,26 @@ def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSe
     return spark
 
 
+def has_local_master(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    return re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master) is not None
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers find this package: once per application, whatever the driver's own path is;
+    the archive is removed when the driver ends."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    folder = Path(tempfile.mkdtemp(prefix="trendloom-code-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(folder / "trendloom_code.zip", "w") as code:
+        for path in PACKAGE.rglob("*.py"):
+            code.write(path, path.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(folder / "trendloom_code.zip"))
+    _shipped.add(application)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
@@ -56,7 +81,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+    if not has_local_master(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     own = tempfile.mkdtemp(prefix="trendloom-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
