@@ -158,6 +158,14 @@ CTES = {
                title || ' ' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE lower(o_orderstatus) END AS whole
         FROM (SELECT *, lower(CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN '' WHEN '2-HIGH' THEN '1-URGENT'
                               ELSE o_orderpriority END) AS title FROM orders)""",
+    "edited_posts": f"""
+        SELECT CAST(date_trunc('month', CASE WHEN edited THEN o_orderdate + INTERVAL {t.MOVED_DAYS} DAY ELSE o_orderdate END) AS DATE) AS month,
+               title, title || ' ' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE lower(o_orderstatus) END AS whole,
+               nullif(o_orderpriority, '5-LOW') AS flair
+        FROM (SELECT *, o_orderkey % {t.EDITED} = 0 AS edited,
+                     lower(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+                                WHEN o_orderkey % {t.EDITED} = 0 AND o_orderpriority = '1-URGENT' THEN '5-LOW'
+                                ELSE o_orderpriority END) AS title FROM orders)""",
     "windows": """
         SELECT month, CASE WHEN month_number - 1 <= 6 THEN 'first' ELSE 'last' END AS period FROM positions
         WHERE month_number > 1 AND month_number < month_count
@@ -231,6 +239,18 @@ _POST_JSON = """
            CASE WHEN o_orderstatus = 'P' AND o_custkey % 2 = 0 THEN 'deleted' END AS later_removal_type,
            CAST(o_orderkey AS VARCHAR) AS id_in_raw"""
 
+def _priority_mart(posts: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT month, {_text(x.tool)} AS tool, {_text(x.category)} AS category, a AS posts_mentioning,
+               b AS posts_mentioning_in_title, n AS posts_in_month, {_pct("a", "n")} AS share_pct,
+               {_pct("b", "n")} AS title_share_pct
+        FROM (SELECT month, count(*) AS n, count(*) FILTER ({_hit("whole", x)}) AS a,
+                     count(*) FILTER ({_hit("whole", x)} AND {_hit("title", x)}) AS b
+              FROM {posts} GROUP BY month)"""
+        for x in t.PRIORITY_TERMS
+    )
+
+
 _DAYS = f"BETWEEN '{q.FIRST_DAY}' AND '{q.LAST_DAY}'"
 
 _ALL_MENTIONED = "SELECT DISTINCT tool FROM comment_mentions"
@@ -439,15 +459,13 @@ _BODIES = {
     ),
     "post_tool_mentions": "SELECT * FROM post_mentions",
     "comment_tool_mentions": "SELECT * FROM comment_mentions",
-    "mentions_from_versions": " UNION ALL ".join(
-        f"""SELECT month, {_text(x.tool)} AS tool, {_text(x.category)} AS category, a AS posts_mentioning,
-               b AS posts_mentioning_in_title, n AS posts_in_month, {_pct("a", "n")} AS share_pct,
-               {_pct("b", "n")} AS title_share_pct
-        FROM (SELECT month, count(*) AS n, count(*) FILTER ({_hit("whole", x)}) AS a,
-                     count(*) FILTER ({_hit("whole", x)} AND {_hit("title", x)}) AS b
-              FROM priority_posts GROUP BY month)"""
-        for x in t.PRIORITY_TERMS
-    ),
+    "mentions_from_versions": _priority_mart("priority_posts"),
+    "marts_incremental": _priority_mart("edited_posts"),
+    "flair_mart_incremental": f"""
+        SELECT month, flair, count(*) AS posts, count(*) FILTER (hit) AS ai_posts_in_title,
+               {_pct("count(*) FILTER (hit)", "count(*)")} AS ai_title_share_pct
+        FROM (SELECT month, coalesce(flair, 'No flair') AS flair, {_hit("title", t.PRIORITY_TERMS[0])} AS hit FROM edited_posts)
+        GROUP BY 1, 2""",
     "posts_fact": "SELECT * FROM f_posts",
     "posts_fact_from_mentions": "SELECT * FROM f_posts",
     "monthly_counts": """

@@ -11,7 +11,7 @@ from trendloom import fixed_values as fv
 from trendloom.bindings import tables as t
 from trendloom.functions import scalars
 from trendloom.operators import joins, mentions, quality, reconcile, versions, windows
-from trendloom.plans import checks, facts, marts, serving, staging
+from trendloom.plans import checks, facts, increments, marts, serving, staging
 from trendloom.plans import rebuild as builds
 from trendloom.session import new_folder
 from trendloom.sources import captures, landing, raw_files, tables, terms
@@ -452,13 +452,41 @@ def mentions_incremental(spark: SparkSession, folder: str) -> DataFrame:
     changed = raw.withColumn("raw", F.regexp_replace("raw", "2-HIGH", "1-URGENT"))
     even = F.get_json_object("raw", "$.id").cast("long") % 2 == 0
     loads = [(LOAD_2, changed.where(even), path), (LOAD_2, changed.where(~even), path), (LOAD_1, raw.where(even), path), (LOAD_1, raw.where(~even), second)]
+    matched = increments.MatchedStore(spark, matched_folder, t.PRIORITY_TERMS)
     written: list[str] = []
     for stamp, load, to in loads:
         tables.append_raw(landing.land_posts(load, stamp), to, gather_months=True)
         written = list(dict.fromkeys([*written, to]))
-        stored = tables.read_versions(spark, *written)
-        matched = builds.update_matched(stored, facts.match_each_post, t.PRIORITY_TERMS, matched_folder)
-    return marts.tool_mentions_by_month(facts.newest_posts(matched), t.PRIORITY_TERMS)
+        matched.update(tables.read_versions(spark, *written), facts.match_each_post)
+    return marts.tool_mentions_by_month(facts.newest_posts(matched.versions()), t.PRIORITY_TERMS)
+
+
+def _edited_counts(spark: SparkSession, folder: str) -> increments.CountStore:
+    """Posts in three loads, counted after each: half of them, all, and late edits of a fifth, which
+    move a post by forty days and take the urgent ones their mention."""
+    path, matched_folder, counts_folder = (new_folder(spark, n) for n in ("posts", "matched", "counts"))
+    raw = t.post_json(spark, folder)
+    number = F.get_json_object("raw", "$.id").cast("long")
+    created = F.get_json_object("raw", "$.created_utc").cast("long")
+    moved = F.regexp_replace("raw", F.concat(F.lit('"created_utc":'), created), F.concat(F.lit('"created_utc":'), created + t.MOVED_DAYS * 86400))
+    edited = raw.where(number % t.EDITED == 0).withColumn("raw", F.replace(moved, F.lit('"title":"1-URGENT"'), F.lit('"title":"5-LOW"')))
+    matched = increments.MatchedStore(spark, matched_folder, t.PRIORITY_TERMS)
+    counts = increments.CountStore(spark, counts_folder, t.PRIORITY_TERMS)
+    for stamp, load in ((LOAD_1, raw.where(number % 2 == 0)), (LOAD_1, raw.where(number % 2 == 1)), (LOAD_2, edited)):
+        tables.append_raw(landing.land_posts(load, stamp), path, gather_months=True)
+        matched.update(tables.read_versions(spark, path), facts.match_each_post)
+        counts.update(increments.POSTS, matched)
+    return counts
+
+
+@query
+def marts_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return _edited_counts(spark, folder).tool_mentions_by_month()
+
+
+@query
+def flair_mart_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return _edited_counts(spark, folder).ai_share_by_flair_month()
 
 
 # --- marts --------------------------------------------------------------------------

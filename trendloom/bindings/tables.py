@@ -53,6 +53,8 @@ PRIORITY_TERMS = [
     Term("Low then O", "level", "low o"),
     Term("Medium", "level", "medium|medium p", "medium o"),
 ]
+# late edits: every so manieth post, moved by so many days
+EDITED, MOVED_DAYS = 5, 40
 FOCUS_TERMS = [t for t in PART_TERMS if t.category == fv.FOCUS_CATEGORY]
 SALT = "weathervane"
 RUN_DATE = "2001-11-06"

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from trendloom import fixed_values as fv
 from trendloom.plans import rebuild, serving
 from trendloom.session import configure
+from trendloom.sources.captures import scan_captured
 from trendloom.sources.landing import land_comments, land_posts
 from trendloom.sources.raw_files import scan_raw
 from trendloom.sources.tables import append_raw, read_versions
 from trendloom.sources.terms import read_terms, shipped_terms, term_list
-from trendloom.streaming.day_files import stream_day_files
+from trendloom.streaming.day_files import stream_captures, stream_day_files
 
 LANDERS = {"posts": land_posts, "comments": land_comments}
 
@@ -35,12 +36,14 @@ class FailedTestsError(RuntimeError):
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
     """Append every day file, one day, or a range of days to a raw table."""
-    append_raw(LANDERS[args.kind](scan_raw(spark, args.files, args.start, args.end)), args.table)
+    scan = scan_captured if args.captured else scan_raw
+    append_raw(LANDERS[args.kind](scan(spark, args.files, args.start, args.end)), args.table)
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Append the day files that arrived since the last run."""
-    stream_day_files(spark, args.files, args.table, args.progress, LANDERS[args.kind]).awaitTermination()
+    """Append the day files that arrived since the last run, or were captured again."""
+    start = stream_captures if args.captured else stream_day_files
+    start(spark, args.files, args.table, args.progress, LANDERS[args.kind]).awaitTermination()
 
 
 def rebuild_models(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -89,6 +92,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--kind", choices=LANDERS, default="posts")
         job.add_argument("--files", required=True, help="folder of day files")
         job.add_argument("--table", required=True)
+        job.add_argument("--captured", action="store_true", help="keep objects byte for byte, in bounded memory; a stream lands a replaced file again")
         if name == "land":
             job.add_argument("--start", help="first day to land; all files without it")
             job.add_argument("--end", help="last day to land; only the first without it")

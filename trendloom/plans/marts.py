@@ -19,7 +19,7 @@ def monthly_counts(df: DataFrame, moment: str, total: str = "total") -> DataFram
     return df.groupBy(month_of(F.col(moment)).alias("month")).agg(F.count("*").alias(total))
 
 
-def _with_post_shares(counts: DataFrame) -> DataFrame:
+def with_post_shares(counts: DataFrame) -> DataFrame:
     posts = F.col("posts_in_month")
     return counts.select(
         "month",
@@ -33,7 +33,7 @@ def _with_post_shares(counts: DataFrame) -> DataFrame:
     )
 
 
-def _with_comment_share(counts: DataFrame) -> DataFrame:
+def with_comment_share(counts: DataFrame) -> DataFrame:
     return counts.select(
         "month",
         "tool",
@@ -53,7 +53,7 @@ def tool_mentions_by_month(matched_posts: DataFrame, terms: Iterable[Term]) -> D
         "posts_in_month",
         {"posts_mentioning": F.lit(True), "posts_mentioning_in_title": F.col("m.is_in_title")},
     )
-    return _with_post_shares(counts.withColumnRenamed("bucket", "month"))
+    return with_post_shares(counts.withColumnRenamed("bucket", "month"))
 
 
 def comment_tool_mentions_by_month(matched_comments: DataFrame, terms: Iterable[Term]) -> DataFrame:
@@ -65,7 +65,7 @@ def comment_tool_mentions_by_month(matched_comments: DataFrame, terms: Iterable[
         "comments_in_month",
         {"comments_mentioning": F.lit(True)},
     )
-    return _with_comment_share(counts.withColumnRenamed("bucket", "month"))
+    return with_comment_share(counts.withColumnRenamed("bucket", "month"))
 
 
 def tool_mentions_by_month_from_facts(posts: DataFrame, mentions: DataFrame, terms: list[Term]) -> DataFrame:
@@ -75,7 +75,7 @@ def tool_mentions_by_month_from_facts(posts: DataFrame, mentions: DataFrame, ter
     )
     totals = monthly_counts(posts, "posted_at", "posts_in_month")
     measures = ["posts_mentioning", "posts_mentioning_in_title"]
-    return _with_post_shares(dense_grid(totals, terms, counts, "month", measures))
+    return with_post_shares(dense_grid(totals, terms, counts, "month", measures))
 
 
 def comment_tool_mentions_by_month_from_facts(humans: DataFrame, mentions: DataFrame, terms: list[Term]) -> DataFrame:
@@ -84,7 +84,7 @@ def comment_tool_mentions_by_month_from_facts(humans: DataFrame, mentions: DataF
         F.count("*").alias("comments_mentioning")
     )
     totals = monthly_counts(humans, "commented_at", "comments_in_month")
-    return _with_comment_share(dense_grid(totals, terms, counts, "month", ["comments_mentioning"]))
+    return with_comment_share(dense_grid(totals, terms, counts, "month", ["comments_mentioning"]))
 
 
 def ai_share_by_flair_month(posts: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def _measure(df: DataFrame, moment: str, measure: str, in_focus: Column) -> Data
     return counted.select("month", F.lit(measure).alias("measure"), "mentions_ai", "total")
 
 
-def _with_share(both: DataFrame) -> DataFrame:
+def with_share(both: DataFrame) -> DataFrame:
     return both.withColumn("share_pct", pct(F.col("mentions_ai"), F.col("total")))
 
 
@@ -115,7 +115,7 @@ def ai_share_by_month(posts: DataFrame, matched_comments: DataFrame, focus: str
     """Per month: share of post titles, and of human comments, that mention the focus category."""
     titles = _measure(posts, "posted_at", fv.POST_TITLES, F.col("mentions_ai_in_title"))
     comments = _measure(matched_comments, "commented_at", fv.COMMENTS, mentions_category(focus))
-    return _with_share(titles.unionByName(comments))
+    return with_share(titles.unionByName(comments))
 
 
 def ai_share_by_month_from_facts(
@@ -124,7 +124,7 @@ def ai_share_by_month_from_facts(
     """The same mart from stored facts: a comment counts if its id is among the focus mentions."""
     flagged = with_membership(humans, "comment_id", mentions.where(F.col("category") == focus), "is_focus")
     titles = _measure(posts, "posted_at", fv.POST_TITLES, F.col("mentions_ai_in_title"))
-    return _with_share(titles.unionByName(_measure(flagged, "commented_at", fv.COMMENTS, F.col("is_focus"))))
+    return with_share(titles.unionByName(_measure(flagged, "commented_at", fv.COMMENTS, F.col("is_focus"))))
 
 
 def ai_share_change(by_month: DataFrame, windows: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from trendloom.functions.text import Term, check_terms, dictionary_key
 from trendloom.operators.quality import freshness, require_fresh
 from trendloom.operators.windows import comparison_windows, distinct_months
 from trendloom.plans import checks, facts, marts
+from trendloom.plans.increments import COMMENTS, POSTS, CountStore, MatchedStore
 from trendloom.plans.staging import clean_comments, clean_posts
 from trendloom.sources.tables import current_state, load_if_present, overwrite_table
 from trendloom.sources.terms import term_frame
@@ -39,11 +40,13 @@ def store_models(
     folder: str,
     window_months: int = fv.WINDOW_MONTHS,
     focus: str = fv.FOCUS_CATEGORY,
+    monthly: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Store matched items, then facts and monthly marts, then the change marts.
 
     The matched items are the only tables computed from text. Facts and marts are narrow scans
-    over them, and everything from the monthly marts on is small.
+    over them, and everything from the monthly marts on is small. ``monthly`` are monthly marts that
+    are kept up to date elsewhere.
     """
     terms = check_terms(terms)
     matched = store_tables({"matched_posts": matched_posts, "matched_comments": matched_comments}, folder)
@@ -59,7 +62,8 @@ def store_models(
             "mart_comment_tool_mentions_by_month": marts.comment_tool_mentions_by_month(comments, terms),
             "mart_ai_share_by_flair_month": marts.ai_share_by_flair_month(fact),
             "mart_ai_share_by_month": marts.ai_share_by_month(fact, comments, focus),
-        },
+        }
+        | (monthly or {}),
         folder,
     )
     windows = models["dim_comparison_windows"]
@@ -75,6 +79,12 @@ def store_models(
     return models | store_tables(changes, folder)
 
 
+def _by_keys(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A semi or anti join in which null equals null."""
+    other = keys.toDF(*[f"_{c}" for c in keys.columns])
+    return rows.join(other, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on], how)
+
+
 def update_matched(
     versions: DataFrame,
     match_each: Callable[[DataFrame, list[Term]], DataFrame],
@@ -86,7 +96,8 @@ def update_matched(
     A version is known by its id, load stamp and content digest, so a load may come late, carry an
     earlier or an equal stamp, or stand in another table. What was matched is kept per dictionary,
     so a changed dictionary matches everything anew. Keys are compared first, without any text;
-    the texts of new versions are then found by their keys, a month's at a time.
+    the texts of new versions are then found by their keys, a month's at a time. For versions that are
+    whole tables ``MatchedStore`` finds new loads by their files, without a join.
     """
     terms = check_terms(terms)
     spark, path = versions.sparkSession, f"{folder}/{dictionary_key(terms)}"
@@ -96,8 +107,8 @@ def update_matched(
         place = [*key, "created_month"] if "created_month" in versions.columns else key
         matched_id = next(c for c in known.columns if c in ("post_id", "comment_id"))
         done = known.select(F.col(matched_id).alias("id"), *key[1:])
-        new = versions.select(*place).join(done, key, "left_anti").distinct()
-        versions = versions.join(new, place, "left_semi")
+        new = _by_keys(versions.select(*place), done, key, "left_anti").distinct()
+        versions = _by_keys(versions, new, place, "left_semi")
     match_each(versions, terms).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
@@ -115,8 +126,9 @@ def rebuild(
 ) -> dict[str, DataFrame]:
     """From raw versions to marts; raises before anything is written when a source is stale.
 
-    ``folder`` is that of this build, see ``new_build``. With ``matched_folder`` only versions that no
-    earlier rebuild matched are matched; without, all are. Staging stays a view; what the data
+    ``folder`` is that of this build, see ``new_build``. With ``matched_folder``, for versions that are
+    whole raw tables, only files that no earlier rebuild matched are matched, and of the monthly
+    marts only the months they touch are counted; without, all are. Staging stays a view; what the data
     tests read of it is stored, so that the newest versions are found once for all of them.
     """
     terms = check_terms(terms)
@@ -125,13 +137,19 @@ def rebuild(
             freshness(comment_versions, "created_utc", "comments", now)
         )
     )
+    monthly = None
     if matched_folder is None:
         posts = facts.match_each_post(post_versions, terms)
         comments = facts.match_each_comment(comment_versions, terms)
     else:
-        posts = update_matched(post_versions, facts.match_each_post, terms, f"{matched_folder}/posts")
-        comments = update_matched(comment_versions, facts.match_each_comment, terms, f"{matched_folder}/comments")
-    models = store_models(facts.newest_posts(posts), facts.newest_comments(comments), terms, folder, window_months)
+        stores = {kind: MatchedStore(spark, f"{matched_folder}/{kind}", terms) for kind in (POSTS, COMMENTS)}
+        counts = CountStore(spark, f"{matched_folder}/counts", terms)
+        for kind, versions, match_each in ((POSTS, post_versions, facts.match_each_post), (COMMENTS, comment_versions, facts.match_each_comment)):
+            stores[kind].update(versions, match_each)
+            counts.update(kind, stores[kind])
+        posts, comments, monthly = stores[POSTS].versions(), stores[COMMENTS].versions(), counts.monthly()
+    matched = facts.newest_posts(posts), facts.newest_comments(comments)
+    models = store_models(*matched, terms, folder, window_months, monthly=monthly)
     return {
         "stg_posts": clean_posts(current_state(post_versions), salt),
         "stg_comments": clean_comments(current_state(comment_versions), salt),
