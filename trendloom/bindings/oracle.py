@@ -450,6 +450,15 @@ _BODIES = {
     "text_mentions_mixed": _mentions(
         f"(SELECT doc_id, lang, {_ascii_lower('text')} AS x FROM documents)", "doc_id, lang", "x", t.MIXED_TERMS
     ),
+    "text_mentions_large": f"""
+        WITH words AS (
+            SELECT DISTINCT doc_id, lang, unnest(regexp_extract_all({_ascii_lower('text')}, '[0-9a-z_]+')) AS word FROM documents
+        ), syllables AS (
+            SELECT unnest([{_listed(t.SYLLABLES)}]) AS s
+        ), many AS (
+            SELECT a.s || b.s AS tool, a.s AS category FROM syllables a, (SELECT '' AS s UNION ALL SELECT s FROM syllables) b
+        )
+        SELECT doc_id, lang, tool, category FROM words JOIN many ON tool = word""",
     "text_mentions_tools": _mentions(
         "(SELECT 'document ' || doc_id AS item_id, lower(text) AS x FROM documents UNION ALL "
         "SELECT 'turn ' || conv_id || '-' || turn, lower(text) FROM conversations)",

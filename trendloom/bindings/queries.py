@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trendloom import fixed_values as fv
 from trendloom.bindings import tables as t
-from trendloom.functions import scalars
+from trendloom.functions import automaton, scalars
 from trendloom.operators import joins, mentions, quality, reconcile, versions, windows
 from trendloom.plans import checks, facts, increments, marts, serving, staging
 from trendloom.plans import rebuild as builds
@@ -391,6 +391,14 @@ def text_mentions_mixed(spark: SparkSession, folder: str) -> DataFrame:
     return _document_mentions(spark, folder, t.MIXED_TERMS)
 
 
+@query
+def text_mentions_large(spark: SparkSession, folder: str) -> DataFrame:
+    """A dictionary of thousands of words."""
+    documents = t.spread_table(spark, folder, "documents").select("doc_id", "lang", "text")
+    found = automaton.with_mentions_of_many(documents, F.col("text"), t.MANY_TERMS)
+    return mentions.explode_mentions(found.select("doc_id", "lang", "mentions"))
+
+
 @query
 def text_mentions_tools(spark: SparkSession, folder: str) -> DataFrame:
     """The shipped dictionary over documents and conversations."""

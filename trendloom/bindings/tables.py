@@ -39,6 +39,13 @@ REGEX_TERMS = [
     Term("ACCENT", "french", "é[a-z]+"),
     Term("UN", "french", "une?", "un[a-z]? (la|le)"),
 ]
+# thousands of words: one or two of these syllables
+SYLLABLES = (
+    "the and ing er on in at ed ly en re ou ti sh wh ea or is it of to ha st nd th an hi es ent ion hes ble tion ere he de la le un ai el os en "
+    "ein der die und ich sch ge be ver keit ung er zu que los las ar as ado mente con por para ad ir et est dans"
+).split()
+SYLLABLES = sorted(set(SYLLABLES))
+MANY_TERMS = [Term(a + b, a, a + b) for a in SYLLABLES for b in ["", *SYLLABLES]]
 # phrases and regexes together; the last two meet words on two lines
 MIXED_TERMS = [
     *WORD_TERMS,

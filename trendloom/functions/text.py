@@ -79,7 +79,8 @@ def dictionary_key(terms: Iterable[Term]) -> str:
     return hashlib.sha256(repr(sorted(map(tuple, terms), key=repr)).encode()).hexdigest()[:16]
 
 
-def _screenable(term: Term) -> list[str] | None:
+def screenable(term: Term) -> list[str] | None:
+    """The phrases of a term that is made of plain phrases, exclusions too; else None."""
     if term.exclude_pattern and not phrases(term.exclude_pattern):
         return None
     return phrases(term.pattern)
@@ -94,7 +95,7 @@ def term_matches(text: Column, lowered: Column, term: Term) -> Column:
     if term.exclude_pattern:
         searched = F.regexp_replace(text, whole_word(term.exclude_pattern), " ")
     found = F.rlike(searched, F.lit(across_lines(whole_word(term.pattern))))
-    words = _screenable(term)
+    words = screenable(term)
     if words is None:
         return found
     return reduce(or_, [F.contains(lowered, F.lit(w)) for w in words]) & found
@@ -110,7 +111,7 @@ def any_term_regex(terms: Sequence[Term]) -> str:
     """A regex that every text mentioning any of these screened terms matches."""
     by_first_letter: dict[str, list[str]] = {}
     for term in terms:
-        for word in _screenable(term):
+        for word in screenable(term):
             by_first_letter.setdefault(word[0], []).append(word[1:])
     branches = [f"{first}(?:{'|'.join(rest)})" for first, rest in by_first_letter.items()]
     return f"(?i)(?<!{WORD})(?:{'|'.join(branches)})"
@@ -139,8 +140,8 @@ def mention_array(whole: Searched, terms: Sequence[Term], title: Searched | None
     Empty, never NULL, for a text without any; in no particular order. With ``title`` each row
     also says whether the title alone mentions the tool.
     """
-    screened = [t for t in terms if _screenable(t)]
-    others = [t for t in terms if not _screenable(t)]
+    screened = [t for t in terms if screenable(t)]
+    others = [t for t in terms if not screenable(t)]
     parts = []
     for at in range(0, len(screened), GROUP):
         group = screened[at : at + GROUP]
