@@ -214,6 +214,25 @@ def test_all_terms_of_the_examples_count(monkeypatch):
         assert np.allclose(cosines, want, atol=1e-5) and (index.ids[places[:, 0]] == np.arange(n)).all()
 
 
+def test_blocks_that_can_not_matter_are_left_out():
+    """Texts of one kind, searched among two kinds that share few words."""
+    random = np.random.default_rng(8)
+    n, size = 1280, 120
+    y = random.integers(0, 2, n)
+    rows = [np.unique(random.integers(0, 55, 20) + 55 * label) for label in y]
+    rows = [(np.append(terms, 110 + i % 10), random.integers(1, 4, len(terms) + 1)) for i, terms in enumerate(rows)]
+    index = toxicity.build(np.arange(n), rows, y, np.ones(n), toxicity.Vocabulary(np.arange(size)), np.append(np.ones(110), np.full(10, 0.1)).astype(np.float32))
+    every = np.zeros((n, size), np.float32)
+    for i, (terms, counts) in enumerate(rows):
+        every[i, terms] = (1 + np.log(counts)) * index.idf[terms]
+    every /= np.linalg.norm(every, axis=1, keepdims=True)
+    one = np.flatnonzero(y)[:200]
+    index.opened = index.left_out = 0
+    cosines, _ = index.nearest(every[one])
+    assert np.allclose(cosines, -np.sort(-(every[one] @ every.T), axis=1)[:, : toxicity.NEIGHBOURS], atol=1e-5)
+    assert index.left_out > 0.4 * (index.left_out + index.opened)
+
+
 def test_words_of_few_examples_find_them(spark):
     train = [(i, " ".join(f"{'bad' if i % 2 else 'kind'}{(i * 7 + j) % 400:03}" for j in range(12))) for i in range(1000)]
     docs, labels = plain.documents(spark, train), labels_of(spark, [(i, 1, i % 2) for i, _ in train])

@@ -2,7 +2,8 @@
 
 Texts are TF-IDF vectors over all terms, words and beginnings of words, of a bounded sample of examples,
 known by 64-bit fingerprints. A term weighs more the more its presence depends on the label in the
-sample (root of chi-square). Document frequencies cover all documents. Examples are kept in an
+sample, beyond what chance gives; frequent terms that tell no more than chance weigh nothing, so that
+they need no postings. Document frequencies cover all documents. Examples are kept in an
 inverted index: the postings of all terms but the ``HEAD`` most frequent ones, which are kept as a matrix cut into
 blocks of ``BLOCK`` similar examples; each of these terms has a largest weight per block. A text's cosines over the
 postings, and the sum of its other weights times these bounds, bound the cosine to any example of a
@@ -28,8 +29,9 @@ from trendloom.llm.common import in_fold, labelled_sample, prepare
 SAMPLE = 6000
 FOLDS, HELD = 5, 0
 BEGINNINGS = (4, 5, 6)  # bytes, of longer words
-HEAD = 2048  # terms kept as a matrix; it does not change results
-FLOOR = 1e-3  # weight of a term whose presence tells nothing of the label; others have the root of chi-square more
+HEAD = 1024  # terms kept as a matrix; it does not change results
+CHANCE = 0.4  # squared standard deviations from what chance gives that count as none
+RARE, FLOOR = 3, 1e-3  # terms of so few examples can't tell more than chance; they weigh a little
 NEIGHBOURS = 31
 BLOCK = 64
 GROUP = 256  # texts searched at once
@@ -99,21 +101,28 @@ class Vocabulary:
 
 
 def choose_vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """All terms of the examples, ascending, and the chi-square between presence and label of each.
-
-    ``examples`` has ``__label`` and ``terms``, the distinct terms of each example. Terms are counted by
-    Spark; as many reach the driver as the bounded sample has.
+    """The terms that tell of the label, ascending, and how much each of them does.
+
+    That is by how many standard deviations the examples of label 1 with the term differ from what
+    chance gives, with a correction for their being whole numbers, and less ``CHANCE`` in squares. Terms
+    of at most ``RARE`` examples weigh ``FLOOR`` at least, so that a text with no others finds these; more
+    frequent ones with nothing left weigh nothing in any text, and are left out. ``examples`` has ``__label`` and
+    ``terms``, the distinct terms of each example. Spark counts them; what reaches the driver is
+    bounded by the sample.
     """
     sizes = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("__label"), F.lit(0)).alias("ones")).first()
-    n, ones = float(sizes.n), float(sizes.ones)
+    share = float(sizes.ones) / max(sizes.n, 1)
+    spread = share * (1 - share)
     counted = examples.select(F.col("__label").cast("double").alias("y"), F.explode("terms").alias("term"))
     counted = counted.groupBy("term").agg(F.sum("y").alias("a"), F.count("*").cast("double").alias("b"))
-    spread = F.col("b") * (n - F.col("b")) * ones * (n - ones)
-    chi = F.when(spread > 0, n * F.pow(F.col("a") * n - F.col("b") * ones, F.lit(2.0)) / spread).otherwise(0.0)
-    found = counted.select("term", chi.alias("chi")).toArrow()
+    off = F.greatest(F.abs(F.col("a") - F.col("b") * share) - 0.5, F.lit(0.0))
+    squares = F.pow(off, F.lit(2.0)) / (F.col("b") * spread) if spread else F.lit(0.0)
+    least = F.when(F.col("b") <= RARE, FLOOR).otherwise(0.0)
+    relevance = F.greatest(F.sqrt(F.greatest(squares - CHANCE, F.lit(0.0))), least)
+    found = counted.select("term", relevance.alias("relevance")).where("relevance > 0").toArrow()
     terms = found["term"].to_numpy().view(np.uint64)
     order = np.argsort(terms)
-    return terms[order], found["chi"].to_numpy()[order]
+    return terms[order], found["relevance"].to_numpy()[order]
 
 
 def frequencies(docs: DataFrame, text: str, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
@@ -159,6 +168,8 @@ class Index:
     ids: np.ndarray
     prior: float
     curve: tuple[float, float] = (1.0, 0.0)
+    opened: int = 0
+    left_out: int = 0
 
     def vectors(self, documents: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
         """The weight of each term in its document; a document's vector has length 1."""
@@ -205,15 +216,18 @@ class Index:
         if itself is not None:
             cosines[np.arange(n), itself] = 0
         k = min(NEIGHBOURS, size)
-        # no weight is negative, so a row's k-th best is at least that of the other terms alone
-        least = np.partition(cosines, size - k, axis=1)[:, size - k]
         bound = x @ self.bounds + np.float32(1e-5) + np.maximum.reduceat(cosines, np.arange(0, size, BLOCK), axis=1)
-        blocks = (bound > np.maximum(least, 2e-5)[:, None]).any(axis=0)
-        if blocks.all():
-            cosines += x @ self.weights
-        else:
-            some = np.flatnonzero(np.repeat(blocks, BLOCK)[:size])
-            cosines[:, some] += x @ self.weights[:, some]
+        # each row's most promising block first; no weight is negative, so what is known so far is a
+        # lower bound of every cosine, and a row's k-th best is at least that of these
+        first = np.zeros(bound.shape[1], dtype=bool)
+        first[bound.argmax(axis=1)] = True
+        self._open(first, x, cosines)
+        if itself is not None:
+            cosines[np.arange(n), itself] = 0
+        least = np.partition(cosines, size - k, axis=1)[:, size - k]
+        others = (bound > np.maximum(least, 2e-5)[:, None]).any(axis=0) & ~first
+        self._open(others, x, cosines)
+        self.left_out += int(len(first) - (first | others).sum())
         if itself is not None:
             cosines[np.arange(n), itself] = 0
         top = np.sort(np.argpartition(cosines, size - k, axis=1)[:, size - k :], axis=1)
@@ -224,6 +238,13 @@ class Index:
         where[best <= 0] = -1
         return best, where
 
+    def _open(self, blocks: np.ndarray, x: np.ndarray, cosines: np.ndarray) -> None:
+        """Add the head's part of all cosines in some blocks, a run of neighbours at a time."""
+        edges = np.flatnonzero(np.diff(blocks.astype(np.int8), prepend=0, append=0))
+        for a, b in zip(edges[::2] * BLOCK, edges[1::2] * BLOCK, strict=True):
+            cosines[:, a:b] += x @ self.weights[:, a:b]
+        self.opened += int(blocks.sum())
+
     def votes(self, cosines: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Share of label 1 among the neighbours by squared cosine; the prior counts as a weak vote."""
         weight = np.where(places >= 0, cosines.astype(np.float64) ** 2 * self.vote_weights[places], 0)
@@ -313,7 +334,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
                 lists += [terms[a:b].view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(lists, pa.list_(pa.int64()))], names=["__label", "terms"])
 
-    terms, chi = choose_vocabulary(rows.mapInArrow(all_terms, "__label int, terms array<long>"))
+    terms, relevance = choose_vocabulary(rows.mapInArrow(all_terms, "__label int, terms array<long>"))
     vocabulary = Vocabulary(terms)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +353,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     one = found.groupBy("__id").agg(F.min(F.struct("places", "counts", "__label", "__weight")).alias("r")).select("__id", "r.*")
     got = one.orderBy("__id").toArrow()  # numbers stay packed: an example has hundreds of terms
     total, counted = frequencies(docs, text, vocabulary)
-    idf = ((np.log((total + 1) / (counted + 1)) + 1e-3) * (np.sqrt(chi) + FLOOR)).astype(np.float32)
+    idf = ((np.log((total + 1) / (counted + 1)) + 1e-3) * relevance).astype(np.float32)
     examples = [(p.values.to_numpy(), c.values.to_numpy()) for p, c in zip(got["places"], got["counts"], strict=True)]
     ids = np.array(got["__id"].to_pylist(), dtype=object)
     return build(ids, examples, got["__label"].to_numpy().astype(np.int64), got["__weight"].to_numpy(), vocabulary, idf)
