@@ -49,6 +49,94 @@ def test_scan(text, want):
     assert names(text) == want
 
 
+@pytest.mark.parametrize(
+    "expression, want",
+    [
+        ("MIT", ["MIT"]),
+        ("GPL-2.0-only", ["GPL-2.0"]),
+        ("ISC", ["ISC"]),
+        ("MPL-2.0", ["MPL-2.0"]),
+        ("BSD-2-Clause", ["BSD-2-Clause"]),
+        ("Apache-2.0 OR MIT", ["Apache-2.0", "MIT"]),
+        ("(lgpl-2.1-or-later WITH Some-exception) */", ["LGPL-2.1"]),
+        ("LicenseRef-Own", []),
+    ],
+)
+def test_licence_expressions(expression, want):
+    text = f"// SPDX-License-Identifier: {expression}\nint x;"
+    assert names(text) == want
+    ends = [hit[2] for hit in licences.scan(text)]
+    assert all(text[:e].lower().endswith(("mit", "2.0", "isc", "only", "clause", "later")) for e in ends)
+
+
+HEADS = {
+    "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n",
+    "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n\n                            Preamble\n",
+    "GPL-2.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.,\n",
+    "LGPL-2.1": "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n\n",
+    "LGPL-3.0": "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n",
+    "AGPL-3.0": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n\n",
+    "MPL-2.0": "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n",
+    "EPL-2.0": "Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM",
+    "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is",
+    "ISC": "ISC License\n\nCopyright (c) 2020",
+}
+
+
+@pytest.mark.parametrize("licence", HEADS)
+def test_heads_of_whole_licence_texts(licence):
+    assert names(HEADS[licence]) == [licence]
+
+
+def test_long_sentences_take_no_time():
+    import time
+
+    started = time.perf_counter()
+    for words in (" ".join("abcdefghijkl" for _ in range(30)), "word " * 1000, "to the extent possible under law " * 40):
+        for head in ("Licensed under the MIT License ", "Neither the name of ", "To the extent possible under law, "):
+            licences.identify(head + words)
+            licences.sentences(head + words)
+    assert time.perf_counter() - started < 1
+
+
+def plain_sentence(text):
+    """The identifier by comparing words, gaps of up to twelve words tried one by one."""
+
+    def fits(parts, words):
+        if not parts:
+            return not words
+        own = licences.normalised(parts[0]).split()
+        for gap in range(13):
+            rest = words[gap:]
+            if rest[: len(own)] == own and fits(parts[1:], rest[len(own) :]):
+                return True
+        return False
+
+    words = licences.normalised(text).split()
+    for name, wordings in licences.SENTENCES.items():
+        for wording in wordings:
+            first, *others = wording.split("<…>")
+            own = licences.normalised(first).split()
+            if words[: len(own)] == own and fits(others, words[len(own) :]):
+                return name
+    return None
+
+
+def test_known_sentences_are_those_of_a_comparison_by_words():
+    import random
+
+    r = random.Random(6)
+    every = [w for wordings in licences.SENTENCES.values() for w in wordings]
+    for _ in range(400):
+        wording = r.choice(every).replace("<…>", " ".join(r.choices(["some", "name", "2020", "the"], k=r.choice([0, 1, 5, 12, 13]))))
+        words = wording.split()
+        if r.random() < 0.3:
+            words.insert(r.randrange(len(words) + 1), "more")
+        text = " ".join(words)
+        if len(text) <= licences.LONGEST:
+            assert licences.identify(text) == plain_sentence(text), text
+
+
 def test_spans_hold_the_sentences():
     text = "é Prose here.\n\nReleased under the MIT License. More."
     ((name, begin, end, own),) = licences.scan(text)

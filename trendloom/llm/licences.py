@@ -118,7 +118,30 @@ SENTENCES = {
     "SPDX-APACHE": ["SPDX-License-Identifier: Apache-2.0"],
     "SPDX-GPL3": ["SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later"],
     "SPDX-BSD3": ["SPDX-License-Identifier: BSD-3-Clause"],
+    "APACHE-TITLE": ["Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", "Apache License, Version 2.0", "Apache License 2.0"],
+    "APACHE-TERMS": ["TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"],
+    "GPL3-TITLE": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "GPL2-TITLE": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL3-TITLE": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL21-TITLE": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "AGPL3-TITLE": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "GNU-COPYRIGHT": ["Copyright (C) <…> Free Software Foundation, Inc. <…> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."],
+    "MPL-TITLE": ["Mozilla Public License Version 2.0", "Mozilla Public License, version 2.0"],
+    "EPL-TITLE": ["Eclipse Public License - v 2.0"],
+    "BSL-TITLE": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "BSD3-TITLE": ["BSD 3-Clause License"],
+    "BSD2-TITLE": ["BSD 2-Clause License"],
+    "ISC-TITLE": ["ISC License", "The ISC License"],
 }
+# Identifiers in licence expressions that have no sentence of their own above, and their licences.
+SPDX_NAMES = {
+    "MIT-0": "MIT-0", "ISC": "ISC", "0BSD": "0BSD", "Zlib": "Zlib", "BSL-1.0": "BSL-1.0", "Unlicense": "Unlicense", "CC0-1.0": "CC0-1.0", "EPL-2.0": "EPL-2.0",
+    "BSD-2-Clause": "BSD-2-Clause", "MPL-2.0": "MPL-2.0", "MPL-1.1": "MPL-1.1", "Artistic-2.0": "Artistic-2.0", "PostgreSQL": "PostgreSQL", "WTFPL": "WTFPL",
+    "GPL-2.0": "GPL-2.0", "GPL-2.0-only": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0", "GPL-3.0": "GPL-3.0",
+    "LGPL-2.1": "LGPL-2.1", "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1", "LGPL-3.0": "LGPL-3.0", "LGPL-3.0-only": "LGPL-3.0", "LGPL-3.0-or-later": "LGPL-3.0",
+    "AGPL-3.0": "AGPL-3.0", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0", "CC-BY-4.0": "CC-BY-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+}
+SENTENCES |= {f"SPDX-{name}": [f"SPDX-License-Identifier: {name}"] for name in SPDX_NAMES}
 
 # Ordered rules: a licence, and the sentences that make it; a sentence ending in ? may be missing.
 RULES = [
@@ -147,6 +170,20 @@ RULES = [
     ("GPL-3.0", ["SPDX-GPL3"]),
     ("BSD-3-Clause", ["SPDX-BSD3"]),
     ("MIT", ["MIT-NAME"]),
+    ("Apache-2.0", ["APACHE-TITLE", "APACHE-TERMS?"]),
+    ("Apache-2.0", ["APACHE-TERMS"]),
+    ("GPL-3.0", ["GPL3-TITLE", "GNU-COPYRIGHT?"]),
+    ("GPL-2.0", ["GPL2-TITLE", "GNU-COPYRIGHT?"]),
+    ("LGPL-3.0", ["LGPL3-TITLE", "GNU-COPYRIGHT?"]),
+    ("LGPL-2.1", ["LGPL21-TITLE", "GNU-COPYRIGHT?"]),
+    ("AGPL-3.0", ["AGPL3-TITLE", "GNU-COPYRIGHT?"]),
+    ("MPL-2.0", ["MPL-TITLE"]),
+    ("EPL-2.0", ["EPL-TITLE"]),
+    ("BSL-1.0", ["BSL-TITLE"]),
+    ("BSD-3-Clause", ["BSD3-TITLE"]),
+    ("BSD-2-Clause", ["BSD2-TITLE"]),
+    ("ISC", ["ISC-TITLE"]),
+    *[(licence, [f"SPDX-{name}"]) for name, licence in SPDX_NAMES.items()],
     ("All-rights-reserved", ["RESERVED"]),
 ]
 INCOMPLETE = "incomplete"
@@ -172,9 +209,10 @@ def _known() -> tuple[dict[str, str], list[tuple[re.Pattern, str]]]:
     for name, wordings in SENTENCES.items():
         for wording in wordings:
             if "<…>" in wording:
-                parts = [re.escape(normalised(p)) for p in wording.split("<…>")]
-                gap = r"(?: ?\S+){0,12}"
-                patterns.append((re.compile((gap + " ?").join(parts)), name))
+                # whole words between whole words: a word can be read in one way only
+                first, *others = [re.escape(normalised(p)) for p in wording.split("<…>")]
+                gap = r"(?: [^ ]++){0,12}"
+                patterns.append((re.compile(first + "".join(f"{gap} {p}" if p else gap for p in others)), name))
             else:
                 exact[normalised(wording)] = name
     return exact, patterns
@@ -185,6 +223,10 @@ EXACT, PATTERNS = _known()
 START = 12
 STARTS = tuple({normalised(s.split("<…>")[0])[:START] for names in SENTENCES.values() for s in names})
 LONGEST = max(len(s) for names in SENTENCES.values() for s in names) * 2
+# A licence expression on its line, and the identifiers in it.
+_SPDX = re.compile(r"[ \t]*SPDX-License-Identifier:([^\n]*)", re.I)
+_SPDX_NAME = re.compile(r"[A-Za-z0-9.-]+")
+SPDX = {wording.split(": ")[1].lower(): name for name, wordings in SENTENCES.items() if name.startswith("SPDX-") for wording in wordings}
 
 
 def identify(sentence: str) -> str | None:
@@ -200,6 +242,7 @@ def identify(sentence: str) -> str | None:
 def sentences(text: str) -> list[tuple[str, int, int]]:
     """Known sentences as (identifier, begin, end), in order and without overlap.
 
+    The identifiers of a licence expression count as a sentence each.
     A sentence begins at a line or after another sentence. It ends at a sentence mark, which may be
     lines further down, or at the end of its line; the first reading that is known counts.
     """
@@ -212,6 +255,12 @@ def sentences(text: str) -> list[tuple[str, int, int]]:
     for begin in starts:
         if begin < free or begin >= len(clean):
             continue
+        if (line_found := _SPDX.match(clean, begin)) is not None:
+            known = [(SPDX[m[0].lower()], m) for m in _SPDX_NAME.finditer(clean, *line_found.span(1)) if m[0].lower() in SPDX]
+            for name, m in known:
+                out.append((name, out[-1][2] if m is not known[0][1] else begin, m.end()))
+            free = line_found.end()
+            continue
         head = normalised(clean[begin : begin + 64])
         if len(head) >= START and not head.startswith(STARTS):
             continue
