@@ -123,3 +123,36 @@ def test_ratio_of_text_to_tags():
     assert html.ratios(lines) == pytest.approx([10.0] * 5)
 
 
+
+
+BOXES = "ad-container site-footer page-footer page-sidebar sidebar-wrapper comments-container comments-wrapper cookie-notice-container newsletter-wrapper related-posts-container site-header"
+
+
+@pytest.mark.parametrize("name", BOXES.split())
+def test_names_of_boxes_tell_what_is_in_them(name):
+    prose = "<p>" + "The article says many things here, one after another. " * 4 + "</p>"
+    want = " ".join(["The article says many things here, one after another."] * 4)
+    for page in (f"<article>{prose}<div class='{name}'>Buy this now!</div></article>", f"<div class='content'>{prose}</div><div id='{name}'>Buy this now!</div>"):
+        if name != "site-header" or "<article>" not in page:
+            assert html.main_text(f"<html><body>{page}</body></html>") == want
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "page-wrapper", "site-container", "sidebar-page-container", "comments-open", "with-footer", "page", "main-content-container"])
+def test_names_of_layouts_hold_the_article(name):
+    assert html.main_text(f"<div class='{name}'><p>The article says this.</p><p>And more of it.</p></div>") == "The article says this. And more of it."
+
+
+@pytest.mark.parametrize("piece", ["<b>x", "<div>x", "<div><b>x", "<p>x<b>y</i>", "<li>x<a>", "</b><td>x"])
+def test_the_work_grows_with_the_length(piece):
+    import time
+
+    started = time.perf_counter()
+    html.main_text(piece * 50_000)
+    assert time.perf_counter() - started < 5
+
+
+def test_columns_that_differ_in_case_are_replaced(spark):
+    pages = spark.createDataFrame([(1, "<p>One.</p>", "x", "y", 7)], "page_id long, html string, TEXT string, HTML_ string, N_Chars int")
+    rows = html.extracted(pages)
+    assert sorted(rows.columns) == sorted(["page_id", "HTML_", "text", "n_chars"])
+    assert rows.first().text == "One."

@@ -12,6 +12,7 @@ content *regions*, and all their lines are returned, short ones too.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import prepare
+from trendloom.llm.common import picked, prepare
 
 SIGMA = 1.0  # of the smoothing, in lines
 THRESHOLD = 0.5  # of the standard deviation of the smoothed ratios
@@ -57,7 +58,10 @@ OTHER_WORDS = set(
 COMMENT_WORDS = {"comment", "reply"}  # the first word of a class that makes an article a reader's comment
 ARTICLE_WORDS = set("article content post entry story main body text".split())
 # A class name with one of these tells of a page's layout, not of the element itself: ``has-sidebar``.
-LAYOUT_WORDS = set("has have with without no not layout page site wrapper container open closed".split())
+LAYOUT_WORDS = set("has have with without no not layout open closed".split())
+# These say what an element is of, and that it is a box, at the begin and the end of a name: ``site-footer``,
+# ``ad-container``. Elsewhere they too tell of the layout: ``sidebar-page-container``.
+OF_WORDS, BOX_WORDS = {"page", "site"}, {"wrapper", "container"}
 # Elements that pages leave open by mistake; their end tags aren't optional.
 LEFT_OPEN = set("nav header footer aside form menu dialog fieldset".split())
 NO, YES, ALWAYS = 0, 1, 2  # whether an element is skipped; in a lenient reading only what is always skipped holds an article back
@@ -65,21 +69,37 @@ STRICT, LENIENT, LAST = 0, 1, 2
 STRAY = 0.2  # of the page's text outside links: with less of it left than this, the strict reading has only stray lines
 
 
+@dataclass(eq=False)
+class Container:
+    """A container element: elements are numbered as they begin, so all it holds is from ``number`` to ``last``."""
+
+    number: int
+    parent: Container | None
+    last: int = 0
+
+
 @dataclass
 class Line:
     text: str
     tags: int
-    path: tuple[int, ...]
+    container: Container
     article: int  # the element that is marked as an article, or 0
     heading: bool = False
 
 
 @dataclass
 class Element:
+    """An open element, with what is known of the elements around it, so that no text walks the stack."""
+
     tag: str
     number: int
     skipped: int
     article: int
+    container: Container
+    link: bool
+    heading: bool
+    own_header: bool  # in a header of an article
+    own_heading: bool  # in a heading of such a header
 
 
 @dataclass
@@ -98,6 +118,9 @@ class Reader(HTMLParser):
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
+        self.blocks: list[int] = []  # places of the open elements that are not inline
+        self.root = Container(0, None)
         self.count = 0
         self.pieces: list[str] = []
         self.tags = 0
@@ -108,9 +131,8 @@ class Reader(HTMLParser):
     def cut(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            path = tuple(e.number for e in self.stack if e.tag in CONTAINERS)
-            heading = any(e.tag in HEADINGS for e in self.stack)
-            self.lines.append(Line(text, self.tags, path, self.stack[-1].article if self.stack else 0, heading))
+            top = self.stack[-1] if self.stack else None
+            self.lines.append(Line(text, self.tags, top.container if top else self.root, top.article if top else 0, bool(top and top.heading)))
             self.tags = 0
         self.pieces = []
 
@@ -136,12 +158,11 @@ class Reader(HTMLParser):
                 if words and words[0] in COMMENT_WORDS:
                     return ALWAYS
                 continue
-            words = set(words)
-            if words & LAYOUT_WORDS:
-                continue
+            of_page = words[:1] == ["page"]
+            words = own_words(words)
             if words & OTHER_WORDS:
                 return ALWAYS
-            if self.level == STRICT and (words & SKIPPED_WORDS or "header" in words and not words & ARTICLE_WORDS and not within):
+            if self.level == STRICT and (words & SKIPPED_WORDS or "header" in words and not of_page and not words & ARTICLE_WORDS and not within):
                 found = YES
         return found
 
@@ -170,22 +191,51 @@ class Reader(HTMLParser):
             article = -self.count
         if article < 0 and (tag == "article" or known.get("itemprop") == "articleBody"):
             article = self.count
-        self.stack.append(Element(tag, self.count, skipped, article))
+        self.push(tag, parent, skipped, article)
+
+    def push(self, tag: str, parent: Element | None, skipped: int, article: int) -> None:
+        container = parent.container if parent else self.root
+        if tag in CONTAINERS:
+            container = Container(self.count, container)
+        heading, own_header = tag in HEADINGS, bool(tag == "header" and article)
+        self.places[tag].append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(
+            Element(
+                tag,
+                self.count,
+                skipped,
+                article,
+                container,
+                tag == "a" or bool(parent and parent.link),
+                heading or bool(parent and parent.heading),
+                own_header or bool(parent and parent.own_header),
+                bool(parent and (parent.own_heading or parent.own_header and heading)),
+            )
+        )
+
+    def last_of(self, tags: set[str]) -> int:
+        """The place of the innermost open element of these tags, or -1."""
+        return max((self.places[tag][-1] for tag in tags if self.places[tag]), default=-1)
 
     def end_open(self, tags: set[str], until: set[str]) -> None:
         """End an open element of ``tags`` unless one of ``until`` is opened inside it."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag in tags:
-                self.cut()
-                self.leave(i)
-                return
-            if self.stack[i].tag in until:
-                return
+        at = self.last_of(tags)
+        if at > self.last_of(until - tags):
+            self.cut()
+            self.leave(at)
 
     def leave(self, i: int, closed: int = 1) -> None:
         """Leave the elements from the ``i``-th on; only the first of them was closed."""
         self.left_open.update(e.number for e in self.stack[i + closed :] if e.skipped and e.tag in LEFT_OPEN)
+        for element in reversed(self.stack[i:]):
+            self.places[element.tag].pop()
+            if element.container.number == element.number:
+                element.container.last = self.count
         del self.stack[i:]
+        while self.blocks and self.blocks[-1] >= i:
+            self.blocks.pop()
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, the slash is ignored
@@ -196,25 +246,21 @@ class Reader(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self.cut()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                self.leave(i)
-                return
-            if tag in INLINE and self.stack[i].tag not in INLINE:
-                return
+        at = self.last_of({tag})
+        if at >= 0 and (tag not in INLINE or not self.blocks or at > self.blocks[-1]):
+            self.leave(at)
 
     def handle_data(self, data: str) -> None:
         if self.stack:
             top = self.stack[-1]
             if top.skipped == ALWAYS:
                 return
-            size = 0 if any(e.tag == "a" for e in self.stack) else len("".join(data.split()))
+            size = 0 if top.link else len("".join(data.split()))
             if top.skipped:
                 self.missed += size
                 self.missed_article |= bool(size and top.article)
                 return
-            own_header = next((i for i, e in enumerate(self.stack) if e.tag == "header" and e.article), None)
-            if own_header is not None and not any(e.tag in HEADINGS for e in self.stack[own_header:]):
+            if top.own_header and not top.own_heading:
                 return  # of an article's own header only its headings count
             self.kept += size
         self.pieces.append(data)
@@ -224,6 +270,7 @@ class Reader(HTMLParser):
         self.close()
         self.cut()
         self.leave(0, 0)
+        self.root.last = self.count
         return self
 
     @property
@@ -234,6 +281,17 @@ class Reader(HTMLParser):
         return self.missed_article or self.kept < STRAY * (self.kept + self.missed)
 
 
+def own_words(words: list[str]) -> set[str]:
+    """The words of a class name that tell what its element is."""
+    first, last = 0, len(words)
+    while first < last and words[first] in OF_WORDS:
+        first += 1
+    while first < last and words[last - 1] in BOX_WORDS:
+        last -= 1
+    own = set(words[first:last])
+    return set() if own & (LAYOUT_WORDS | OF_WORDS | BOX_WORDS) else own
+
+
 def is_marked(tag: str, attrs: dict[str, str]) -> bool:
     return tag == "article" or attrs.get("itemprop") == "articleBody" or attrs.get("role") == "main"
 
@@ -274,19 +332,29 @@ def regions(lines: list[Line]) -> list[Line]:
             held = {line.article for line, c in zip(lines, chosen, strict=True) if marked(line.article) and c}
             held = held or {line.article for line in lines if marked(line.article)}
             return [line for line in lines if line.article in held]
-    voters = [line.path for line, c in zip(lines, chosen & ~outliers(lines, chosen), strict=True) if c]
+    voters = [line.container for line, c in zip(lines, chosen & ~outliers(lines, chosen), strict=True) if c]
     # the innermost element that holds all of the cluster
-    depth = next((i for i, held in enumerate(zip(*voters, strict=False)) if len(set(held)) > 1), min(map(len, voters)))
-    inner = voters[0][:depth]
-    own = [line for line in lines if line.path[:depth] == inner]
+    numbers = [c.number for c in voters]
+    inner = voters[0]
+    while inner.number > min(numbers) or inner.last < max(numbers):
+        inner = inner.parent
+    own = [line for line in lines if inner.number <= line.container.number <= inner.last]
     # an element that is a single line of several is no region
-    if len(own) == 1 and len(lines) > 1 and inner:
-        return [line for line in lines if line.path[: depth - 1] == inner[:-1]]
-    if any(len(path) == depth for path in voters):
+    if len(own) == 1 and len(lines) > 1 and inner.parent is not None:
+        outer = inner.parent
+        return [line for line in lines if outer.number <= line.container.number <= outer.last]
+    if inner in voters:
         return own
     # an article in several elements: from the first to the last of them, with what stands between
-    parts = {path[depth] for path in voters}
-    at = [i for i, line in enumerate(own) if len(line.path) > depth and line.path[depth] in parts]
+    parts: list[Container] = []
+    for container in voters:
+        while not parts or not parts[-1].number <= container.number <= parts[-1].last:
+            part = container
+            while part.parent is not inner:
+                part = part.parent
+            parts.append(part)
+    first, last = parts[0].number, parts[-1].last
+    at = [i for i, line in enumerate(own) if first <= line.container.number <= last and line.container is not inner]
     return own[at[0] : at[-1] + 1]
 
 
@@ -310,12 +378,14 @@ def main_text(page: str | None) -> str:
 def extracted(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """``pages`` with the column ``html`` replaced by ``text`` and ``n_chars``, its code points.
 
-    A null or empty page, or one without content, has an empty text. Columns of those names that
-    ``pages`` has already are replaced; all others are kept; every row gives one row.
+    A null or empty page, or one without content, has an empty text. Columns of those names, in any
+    letter case, that ``pages`` has already are replaced; all others are kept; every row gives one row.
+    The work on a page grows with its length, however deep its elements are or how many stay open.
     """
     prepare(pages.sparkSession)
-    kept = [c for c in pages.columns if c not in (html, text, "n_chars")]
-    rows = pages.select(F.col(f"`{html}`").cast("string").alias("__html"), *[F.col(f"`{c}`") for c in kept])
+    replaced = {html.lower(), text.lower(), "n_chars"}
+    kept = [c for c in pages.columns if c.lower() not in replaced]
+    rows = picked(pages, html, *kept).withColumn(html, F.col(f"`{html}`").cast("string"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]), f"`{text}` string", "n_chars long"])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -191,7 +191,7 @@ INCOMPLETE = "incomplete"
 # Every known sentence holds one of these, so a text without any has no licence sentence.
 # Between the words of one may stand what `normalised` joins, and the mark of a line.
 _GAP = r"[^a-z0-9]+(?:[0-9]{1,2}[.)][^a-z0-9]*)?"
-ANCHORS = f"licen|copyright|permission|warrant|public{_GAP}domain|redistribut|rights{_GAP}reserved|creative{_GAP}commons|liable"
+ANCHORS = f"licen|copyright|permission|warrant|public{_GAP}domain|redistribut|rights{_GAP}reserved|creative{_GAP}commons|liable|terms{_GAP}and{_GAP}conditions"
 
 _NOT_WORD = re.compile(r"[^a-z0-9]+")
 _MARKS = re.compile(r"^[ \t]*(?://+|#+|/?\*+/?|;+|--+|>+|\(?\d{1,2}[.)]|[-•])?[ \t]*", re.M)
