@@ -62,6 +62,31 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 2, 3] and kept.columns[-1] == "__key"
 
 
+def test_what_is_left_out_can_not_cover_an_item():
+    r = random.Random(9)
+    for _ in range(500):
+        words, length = r.randrange(5, 60), 5
+        seeds = [r.randrange(12) for _ in range(words - length + 1)]
+        own = sorted(set(seeds))
+        places = [np.array([i for i, s in enumerate(seeds) if s == o]) for o in own]
+        look = tiling.rarest(places, np.array([r.randrange(100) for _ in own]), length, words, 50)
+        left = np.array(sorted(p for o, ok in zip(places, look, strict=True) if not ok for p in o), dtype=np.int64)
+        plainly = len({w for p in left for w in range(p, p + length)})
+        assert tiling.covered(left, length) == plainly and 2 * plainly < words and look.any()
+
+
+def test_a_shared_opening_makes_no_pairs(spark):
+    """All documents and all items begin alike; two items stand in a document as well."""
+    opening = " ".join(WORDS[:10])
+    bench = [(i, opening + " " + " ".join(f"item{i}w{j}" for j in range(30))) for i in range(50)]
+    docs = [(d, opening + " " + " ".join(f"doc{d}w{j}" for j in range(40))) for d in range(600)]
+    docs += [(900, "before " + bench[7][1]), (901, bench[8][1] + " after")]
+    assert pairs(spark, docs, bench) == {(900, 7): (1, 40), (901, 8): (1, 40)}
+    times = np.array([602] * 6 + [1] * 30)
+    look = tiling.rarest([np.array([i]) for i in range(36)], times, 5, 40, 50)
+    assert not look[:6].any() and look[15:].all()
+
+
 def test_empty_tables(spark):
     assert pairs(spark, [], [(1, "a b c d e f")]) == {} and pairs(spark, [(1, "a b c d e f")], []) == {}
 

@@ -171,6 +171,64 @@ def test_language_edge_cases(spark):
     assert language.predicted(plain.documents(spark, []), model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """Many more languages than are common, two of them with most of the rows."""
+    names = [f"l{i:03}" for i in range(500)]
+    word = lambda i: "".join(("abcdefghij", "klmnopqrst", "uvwxyzàèìò")[n][int(d)] for n, d in enumerate(f"{i:03}")) * 3
+    rows = [(i * 8 + j, f"{word(i)} {word(i)}", name) for i, name in enumerate(names) for j in range(8 if i > 1 else 200)]
+    rows = [(k, text, name) for k, (_, text, name) in enumerate(rows)]
+    model = language.train(plain.documents(spark, rows))
+    assert model.languages == names
+    got = language.predicted(plain.documents(spark, [(i, word(i), None) for i in range(0, 500, 7)]), model).collect()
+    assert np.mean([r.lang_pred == names[r.doc_id] for r in got]) > 0.9
+
+
+def test_gram_counts_and_one_epoch_equal_plain_ones():
+    texts = ["The cat, the CAT 12 é", "ünï çode x", "", "a b a b a"]
+    (chunk,) = textkit.chunks(pa.array(texts))
+    codes, offsets = language.characters(chunk)
+    counts = np.concatenate([c for _, c in language.gram_counts(chunk)])
+    for own, a, b in zip(counts, offsets, offsets[1:], strict=False):
+        grams: dict = {}
+        for n in language.GRAMS:
+            for at in range(a, b - n + 1):
+                key = tuple(codes[at : at + n].tolist())
+                if key != (0x20,):
+                    grams[key] = grams.get(key, 0) + 1
+        # few grams, so that hardly two of them fall into one bin
+        assert own.sum() == sum(grams.values()) and len(grams) - 2 <= (own > 0).sum() <= len(grams)
+
+    random = np.random.default_rng(5)
+    rows = [(np.unique(random.integers(0, 12, 5)), None) for _ in range(40)]
+    rows = [(bins, random.random(len(bins))) for bins, _ in rows]
+    labels = random.integers(0, 3, 40)
+    weights, bias = language.follow_the_leader(rows, labels, 12, 3)
+    z, n = [[0.0] * 3 for _ in range(13)], [[0.0] * 3 for _ in range(13)]
+
+    def weight(j, c):
+        l1, l2 = (0, 0) if j == 12 else (language.L1, language.L2)
+        if abs(z[j][c]) <= l1:
+            return 0.0
+        sign = 1 if z[j][c] > 0 else -1
+        return -(z[j][c] - sign * l1) / ((language.BETA + n[j][c] ** 0.5) / language.ALPHA + l2)
+
+    order = np.random.default_rng(3)
+    for _ in range(language.EPOCHS):
+        for i in order.permutation(40):
+            x = [*zip(rows[i][0].tolist(), rows[i][1].tolist(), strict=True), (12, 1.0)]
+            w = {(j, c): weight(j, c) for j, _ in x for c in range(3)}
+            raw = [sum(w[j, c] * v for j, v in x) for c in range(3)]
+            p = [np.exp(r - max(raw)) for r in raw]
+            for c in range(3):
+                e = p[c] / sum(p) - (labels[i] == c)
+                for j, v in x:
+                    g = e * v
+                    z[j][c] += g - ((n[j][c] + g * g) ** 0.5 - n[j][c] ** 0.5) / language.ALPHA * w[j, c]
+                    n[j][c] += g * g
+    assert np.allclose(weights, [[weight(j, c) for c in range(3)] for j in range(12)], atol=1e-9)
+    assert np.allclose(bias, [weight(12, c) for c in range(3)], atol=1e-9)
+
+
 # --- toxicity --------------------------------------------------------------------------------
 
 

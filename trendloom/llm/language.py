@@ -25,8 +25,8 @@ FOLDS, HELD = 4, 2
 BITS = 13
 BINS = 1 << BITS
 GRAMS = (1, 2, 3)
-# Most documents of one language, and most languages, that training reads.
-PER_LANGUAGE, LANGUAGES = 300, 400
+# Most documents of one language that training reads, and about the most of all; two of each at least.
+PER_LANGUAGE, SAMPLE = 300, 12_000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 1e-3, 1e-3
 CALIBRATION = 5  # every fifth document of the sample
 UNKNOWN = "und"
@@ -192,25 +192,26 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
 def train(docs: DataFrame, learn: Column | None = None, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A model from the rows ``learn`` picks (the default: all outside the held-out fold) with a language.
 
-    At most ``PER_LANGUAGE`` documents of the ``LANGUAGES`` most frequent languages are sampled, by a
-    hash of their id. Without any, the model knows no language.
+    Every language is learned: at most ``PER_LANGUAGE`` documents of each are sampled by a hash of their
+    id, and fewer where there are so many languages that ``SAMPLE`` would be passed. A model has
+    ``BINS`` weights for each language. Without any, the model knows no language.
     """
     prepare(docs.sparkSession)
     pick = ~in_fold(F.col(f"`{id}`"), FOLDS, HELD) if learn is None else learn
     rows = docs.where(pick & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     rows = rows.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{lang}`").cast("string").alias("__lang"), F.col(f"`{id}`").cast("string").alias("__id"))
     total, frequencies = document_frequencies(rows, "__text")
-    sizes = rows.groupBy("__lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "__lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("__lang").agg(F.count("*").alias("__n")).collect()
     languages = sorted(r["__lang"] for r in sizes)
     idf = np.log((total + 1) / (frequencies + 1)).astype(np.float32) + np.float32(1e-3)
     model = Model(languages, idf, np.zeros((BINS, len(languages))), np.zeros(len(languages)), 1.0)
     if not languages:
         return model
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("__lang") == r["__lang"], min(1.0, 3 * PER_LANGUAGE / r["n"])).otherwise(share)
+    most = max(2, min(PER_LANGUAGE, SAMPLE // len(languages)))
     draw = F.xxhash64(F.lit("language"), "__id")
-    drawn = rows.where(F.pmod(draw, F.lit(1 << 30)) / float(1 << 30) < share)
+    # a row per language, as many as the model has
+    known = docs.sparkSession.createDataFrame(sizes, "__lang string, __n long")
+    drawn = rows.join(F.broadcast(known), "__lang").where(F.pmod(draw, F.lit(1 << 30)) / float(1 << 30) < 3.0 * most / F.col("__n"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +227,7 @@ def train(docs: DataFrame, learn: Column | None = None, id: str = "doc_id", text
 
     found = drawn.select("__text", "__lang", draw.alias("draw")).mapInArrow(featurise, "lang string, draw long, bins array<int>, x array<float>")
     best = Window.partitionBy("lang").orderBy("draw", "bins")
-    got = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= PER_LANGUAGE).orderBy("lang", "r").toPandas()
+    got = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).orderBy("lang", "r").toPandas()
     place = {name: i for i, name in enumerate(languages)}
     examples = [(np.asarray(b, dtype=np.int64), np.asarray(x, dtype=float)) for b, x in zip(got["bins"], got["x"], strict=True)]
     labels = np.array([place[name] for name in got["lang"]], dtype=np.int64)

@@ -7,8 +7,11 @@ at least ``COVERAGE`` of its words; words are runs of letters and digits in lowe
 
 The pairs to tile come from a join on seeds, windows of ``SHORTEST`` words. Documents are scanned once
 against a bit table of the seeds, of fixed size, that only ever lets too many windows pass; the
-windows that pass are joined with the seeds by Spark, counted per pair, and pairs whose windows can't
-reach the coverage go. The benchmark is not broadcast, and may be of any size.
+windows that pass are counted over all documents and joined with an item's seeds. An item leaves out its
+most frequent seeds, as many as can't cover enough of it by themselves: a pair that reaches the
+coverage shares another one, so openings that all items and many documents share make no pairs. Pairs
+whose shared windows don't cover enough of the item go before any text is moved. The benchmark is
+not broadcast, and may be of any size.
 """
 
 from __future__ import annotations
@@ -136,16 +139,85 @@ def _item_seeds(shortest: int):
                 if not len(words):
                     continue
                 length = min(shortest, len(words))
-                own, times = np.unique(_seeds(words, np.zeros(len(words), np.int64), length)[0], return_counts=True)
+                own = _seeds(words, np.zeros(len(words), np.int64), length)[0]
                 n = len(own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own.view(np.int64)), pa.array(times), pa.array([length] * n, pa.int32()), pa.array([len(words)] * n, pa.int64()), pa.array([key.as_py()] * n, pa.binary()), pa.array([item.as_py()] * n, item.type)],
-                    names=["seed", "times", "length", "words", "item_key", "__item"],
+                    [pa.array(own.view(np.int64)), pa.array(np.arange(n)), pa.array([length] * n, pa.int32()), pa.array([len(words)] * n, pa.int64()), pa.array([key.as_py()] * n, pa.binary()), pa.array([item.as_py()] * n, item.type)],
+                    names=["seed", "place", "length", "words", "item_key", "__item"],
                 )
 
     return seeds
 
 
+def covered(places: np.ndarray, length: int) -> int:
+    """Words that windows of a length at ascending places cover."""
+    return int(np.minimum(np.diff(places, append=places[-1] + length if len(places) else 0), length).sum())
+
+
+def rarest(places: list[np.ndarray], times: np.ndarray, length: int, words: int, percent: int) -> np.ndarray:
+    """Which seeds of an item to look for: all but the most frequent that together cover too little.
+
+    ``places`` holds the places of each seed in the item, ``times`` in how many documents it stands.
+    """
+    look = np.ones(len(places), dtype=bool)
+    taken = np.zeros(words + 1, dtype=bool)
+    for seed in np.argsort(-times, kind="stable"):
+        more = taken.copy()
+        for at in places[seed]:
+            more[at : at + length] = True
+        if 100 * int(more.sum()) >= percent * words:
+            break
+        taken, look[seed] = more, False
+    return look
+
+
+def _looked_for(percent: int):
+    """The seeds of each item to look for; an item's rows stand together, in order of their seeds."""
+
+    def chosen(rows: list[tuple]) -> list[tuple]:
+        own: dict[int, list] = {}
+        for seed, place, times, length, words, key in rows:
+            own.setdefault(seed, [[], times])[0].append(place)
+        times = np.array([t for _, t in own.values()])
+        look = rarest([np.array(p) for p, _ in own.values()], times, length, words, percent)
+        return [(seed, key) for seed, ok in zip(own, look, strict=True) if ok and own[seed][1]]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if group and row[-1] != group[0][-1]:
+                    out += chosen(group)
+                    group = []
+                group.append(row)
+            if out:
+                yield _look_batch(out)
+        if group:
+            yield _look_batch(chosen(group))
+
+    return look
+
+
+def _look_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["seed", "item_key"])
+
+
+def _covering(percent: int):
+    """Pairs whose shared windows cover enough of the item."""
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for own, seeds, places, length, words in zip(*[c.to_pylist() for c in batch.columns[:5]], strict=True):
+                shared = set(own)
+                at = np.array(sorted(p for s, p in zip(seeds, places, strict=True) if s in shared), dtype=np.int64)
+                kept.append(100 * covered(at, length) >= percent * words)
+            yield pa.RecordBatch.from_arrays(batch.columns[5:], names=batch.schema.names[5:]).filter(pa.array(kept, pa.bool_()))
+
+    return cover
+
+
 def _probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mask = np.uint64((1 << TABLE_BITS) - 1)
     return seeds & mask, (seeds >> np.uint64(32)) & mask
@@ -230,7 +302,7 @@ def contaminated(
     prepare(spark)
     items = benchmark.select(F.col(f"`{item_text}`").cast("string").alias("__text"), row_key(item, item_text).alias("item_key"), F.col(f"`{item}`").alias("__item"))
     item_type = items.schema["__item"].dataType.simpleString()
-    seeds = items.mapInArrow(_item_seeds(shortest), f"seed long, times long, length int, words long, item_key binary, __item {item_type}")
+    seeds = items.mapInArrow(_item_seeds(shortest), f"seed long, place long, length int, words long, item_key binary, __item {item_type}")
     seeds = stored(seeds.distinct(), "tiling-seeds")
     lengths = sorted(r["length"] for r in seeds.select("length").distinct().collect())  # 1 to ``shortest``
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"), row_key(id, text).alias("row_key"))
@@ -238,10 +310,17 @@ def contaminated(
     found = rows.mapInArrow(_scan(bit_table(seeds), lengths), f"__text string, __id {id_type}, row_key binary, seeds array<long>") if lengths else rows.where("false").withColumn("seeds", F.array().cast("array<long>"))
     hits = stored(found, "tiling-hits")
 
-    shared = hits.select("row_key", F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
-    counted = shared.groupBy("row_key", "item_key").agg(F.sum("times").alias("windows"), F.max("length").alias("length"), F.max("words").alias("words"), F.min("__item").alias("__item"))
-    # each window of the item that stands in the document covers ``length`` words at most
-    pairs = counted.where(F.col("windows") * F.col("length") * 100 >= F.col("words") * percent).select("row_key", "item_key", "__item")
+    # the most frequent windows are counted in each task before they meet
+    times = hits.select("row_key", F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count("*").alias("times"))
+    counted = seeds.join(times, "seed", "left").select("seed", "place", F.coalesce("times", F.lit(0)).alias("times"), "length", "words", "item_key")
+    looked_for = counted.repartition("item_key").sortWithinPartitions("item_key", "seed").mapInArrow(_looked_for(percent), "seed long, item_key binary")
+    found = hits.select("row_key", F.explode("seeds").alias("seed")).join(looked_for, "seed").select("row_key", "item_key").distinct()
+    windows = seeds.groupBy("item_key").agg(
+        F.collect_list(F.struct("seed", "place")).alias("w"), F.max("length").alias("length"), F.max("words").alias("words"), F.min("__item").alias("__item")
+    )
+    found = found.join(hits.select("row_key", "seeds").dropDuplicates(["row_key"]), "row_key").join(windows, "item_key")
+    found = found.select("seeds", F.col("w.seed").alias("item_seeds"), F.col("w.place").alias("places"), "length", "words", "row_key", "item_key", "__item")
+    pairs = found.mapInArrow(_covering(percent), f"row_key binary, item_key binary, __item {item_type}")
     texts = hits.select("row_key", "__text", "__id").dropDuplicates(["row_key"])
     item_texts = items.select("item_key", F.col("__text").alias("__item_text")).dropDuplicates(["item_key"])
     joined = pairs.join(texts, "row_key").join(item_texts, "item_key").select("__text", "__item_text", "__id", "__item", "row_key")
