@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.session import new_folder
-
-ROOT = Path(__file__).resolve().parents[2]
+from trendloom.session import new_folder, ship_package
 
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
-_shipped: set[str] = set()
-
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers find this package, and bound what they are handed at once.
@@ -26,17 +17,7 @@ def prepare(spark: SparkSession) -> None:
     """
     if spark.conf.get(BATCH_SETTING, None) is None:
         spark.conf.set(BATCH_SETTING, BATCH_BYTES)
-    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
-    found = any(p and Path(p).resolve() == ROOT for p in paths) or Path.cwd().resolve() == ROOT
-    application = spark.sparkContext.applicationId
-    if found or application in _shipped:
-        return
-    archive = Path(tempfile.mkdtemp(prefix="trendloom-code-")) / "trendloom_code.zip"
-    with zipfile.ZipFile(archive, "w") as packed:
-        for path in (ROOT / "trendloom").rglob("*.py"):
-            packed.write(path, path.relative_to(ROOT))
-    spark.sparkContext.addPyFile(str(archive))
-    _shipped.add(application)
+    ship_package(spark)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
