@@ -392,6 +392,13 @@ _BODIES = {
     "json_array_files": "SELECT day, id, title FROM event_posts",
     "scan_raw_all": _MIXED,
     "scan_raw_days": f"{_MIXED} WHERE CAST(ts AS DATE) BETWEEN DATE '{q.FIRST_DAY}' AND DATE '{q.LAST_DAY}'",
+    "variant_field": """
+        SELECT CAST(event_id AS VARCHAR) AS id,
+               CASE event_id % 4 WHEN 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) WHEN 1 THEN '12' END AS score,
+               CAST(CASE WHEN event_id % 4 = 1 THEN 1 END AS INTEGER) AS k,
+               CAST(CASE WHEN event_id % 4 = 3 THEN 1 END AS BIGINT) AS first_extra,
+               CAST(NULL AS INTEGER) AS title_as_number
+        FROM events""",
     "listing_diff": """
         SELECT DISTINCT 'event_type=' || event_type || '/day=' || strftime(ts, '%Y-%m-%d') AS key,
                CASE WHEN event_type = 'click' THEN 'copy' ELSE 'skip' END AS action, TRUE AS below_itself
@@ -559,6 +566,7 @@ _BODIES = {
     "dq_expected_terms_found": f"""
         SELECT tool FROM (VALUES ('Hot Ring'), ('Sprocket'), ('Gizmo'), ('Flywheel')) AS e(tool)
         WHERE tool NOT IN ({_ALL_MENTIONED})""",
+    "dq_no_author_columns": "SELECT * FROM (VALUES ('stg_posts', 'author_id'), ('stg_comments', 'author_id')) AS v(model, \"column\")",
     "freshness_gate": " UNION ALL ".join(
         f"""SELECT '{name}' AS source, newest, hours AS age_hours,
                CASE WHEN hours > 72 THEN 'error' WHEN hours > 36 THEN 'warn' ELSE 'pass' END AS status

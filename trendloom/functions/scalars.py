@@ -93,3 +93,8 @@ def month_label(month: Column, run_date: str) -> Column:
 
 def group_label(is_focus: Column) -> Column:
     return F.when(is_focus, F.lit(fv.FOCUS_GROUP)).otherwise(F.lit(fv.OTHER_GROUP))
+
+
+def variant_field(fields: Column, path: str, kind: str = "string") -> Column:
+    """A field of a VARIANT by its path, as a type; NULL if it is absent, JSON null, or of another type."""
+    return F.try_variant_get(fields, path, kind)

@@ -51,6 +51,7 @@ def rebuild_models(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     terms = term_list(read_terms(spark, args.terms)) if args.terms else shipped_terms()
     build = rebuild.new_build()
     folder = rebuild.build_folder(args.models, build)
+    row_counts: dict[str, dict[str, int]] = {}
     models = rebuild.rebuild(
         spark,
         read_versions(spark, *args.posts),
@@ -61,8 +62,9 @@ def rebuild_models(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         args.now,
         args.window_months,
         args.matched,
+        row_counts,
     )
-    report = rebuild.tested(models, folder, window_months=args.window_months)
+    report = rebuild.tested(models, folder, row_counts, window_months=args.window_months)
     rows = report.collect()  # one row per test
     failed = sorted(r.test for r in rows if r.status == "error")
     if failed:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendloom import fixed_values as fv
@@ -162,20 +162,45 @@ def _count_row_tests(df: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
     return counted.select(F.explode(results).alias("r")).select("r.*")
 
 
+RowCounts = dict[str, dict[str, int]]
+
+
+def watched(model: str, df: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """A model that counts the failures of its row tests while it is written."""
+    tests = [test for test in row_tests() if test.model == model]
+    if not tests:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(test.fails).alias(f"n{i}") for i, test in enumerate(tests)]), seen
+
+
+def counts_of(model: str, seen: Observation) -> dict[str, int]:
+    """Failures by test, once the model is written."""
+    found = seen.get
+    return {test.name: found[f"n{i}"] for i, test in enumerate(t for t in row_tests() if t.model == model)}
+
+
 def report(
     models: dict[str, DataFrame],
     window_months: int = fv.WINDOW_MONTHS,
     expected_terms: Sequence[str] = fv.MULTI_WORD_TOOLS,
+    row_counts: RowCounts | None = None,
 ) -> DataFrame:
     """One row per test of all 50: failing rows, and ``pass``, ``warn`` or ``error``.
 
     ``models`` holds staging, facts and marts by name, and the dictionary as ``tools``. Staging is
-    read by several tests: pass the stored frames of ``narrow_staging``, not lazy views.
+    read by several tests: pass the stored frames of ``narrow_staging``, not lazy views. Models whose
+    row tests were counted while they were written, ``row_counts``, are not read for them again.
     """
     by_model: dict[str, list[RowTest]] = {}
+    known = [(name, "error", n) for counts in (row_counts or {}).values() for name, n in counts.items()]
     for test in row_tests():
-        by_model.setdefault(test.model, []).append(test)
+        if test.model not in (row_counts or {}):
+            by_model.setdefault(test.model, []).append(test)
     parts = [_count_row_tests(models[model], tests) for model, tests in by_model.items()]
+    if known:
+        spark = models["tools"].sparkSession
+        parts.append(spark.createDataFrame(known, "test string, severity string, failures long"))
     for test in set_tests(models, window_months, expected_terms):
         counted = test.violations.agg(F.count("*").alias("n"))
         parts.append(counted.select(_result(test.name, test.severity, F.col("n")).alias("r")).select("r.*"))

@@ -26,11 +26,21 @@ from trendloom.sources.tables import current_state, load_if_present, overwrite_t
 from trendloom.sources.terms import term_frame
 
 
-def store_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Store independent tables side by side, so that small ones do not wait for each other."""
+def store_tables(tables: dict[str, DataFrame], folder: str, row_counts: checks.RowCounts | None = None, prefix: str = "") -> dict[str, DataFrame]:
+    """Store independent tables side by side, so that small ones do not wait for each other.
+
+    With ``row_counts`` the failures of the data tests on single rows are counted in the same jobs.
+    """
+
+    def store(name: str) -> DataFrame:
+        df, seen = checks.watched(name, tables[name]) if row_counts is not None else (tables[name], None)
+        stored = overwrite_table(df, f"{folder}/{prefix}{name}")
+        if seen is not None:
+            row_counts[name] = checks.counts_of(name, seen)
+        return stored
+
     with ThreadPoolExecutor(len(tables)) as pool:
-        stored = pool.map(lambda item: overwrite_table(item[1], f"{folder}/{item[0]}"), tables.items())
-        return dict(zip(tables, stored, strict=True))
+        return dict(zip(tables, pool.map(store, tables), strict=True))
 
 
 def store_models(
@@ -41,6 +51,7 @@ def store_models(
     window_months: int = fv.WINDOW_MONTHS,
     focus: str = fv.FOCUS_CATEGORY,
     monthly: dict[str, DataFrame] | None = None,
+    row_counts: checks.RowCounts | None = None,
 ) -> dict[str, DataFrame]:
     """Store matched items, then facts and monthly marts, then the change marts.
 
@@ -65,6 +76,7 @@ def store_models(
         }
         | (monthly or {}),
         folder,
+        row_counts,
     )
     windows = models["dim_comparison_windows"]
     by_tool = models["mart_tool_mentions_by_month"]
@@ -76,7 +88,7 @@ def store_models(
             models["mart_ai_share_by_flair_month"], windows
         ),
     }
-    return models | store_tables(changes, folder)
+    return models | store_tables(changes, folder, row_counts)
 
 
 def _by_keys(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
@@ -123,6 +135,7 @@ def rebuild(
     now: str,
     window_months: int = fv.WINDOW_MONTHS,
     matched_folder: str | None = None,
+    row_counts: checks.RowCounts | None = None,
 ) -> dict[str, DataFrame]:
     """From raw versions to marts; raises before anything is written when a source is stale.
 
@@ -149,7 +162,7 @@ def rebuild(
             counts.update(kind, stores[kind])
         posts, comments, monthly = stores[POSTS].versions(), stores[COMMENTS].versions(), counts.monthly()
     matched = facts.newest_posts(posts), facts.newest_comments(comments)
-    models = store_models(*matched, terms, folder, window_months, monthly=monthly)
+    models = store_models(*matched, terms, folder, window_months, monthly=monthly, row_counts=row_counts)
     return {
         "stg_posts": clean_posts(current_state(post_versions), salt),
         "stg_comments": clean_comments(current_state(comment_versions), salt),
@@ -158,11 +171,14 @@ def rebuild(
     }
 
 
-def tested(models: dict[str, DataFrame], folder: str, **options: object) -> DataFrame:
-    """The report of all data tests of a build, on staging stored for them in its folder."""
-    narrow = checks.narrow_staging(models["stg_posts"], models["stg_comments"])
-    stored = store_tables({f"tested_{name}": df for name, df in narrow.items()}, folder)
-    return checks.report({**models, **{name: stored[f"tested_{name}"] for name in narrow}}, **options)
+def tested(models: dict[str, DataFrame], folder: str, row_counts: checks.RowCounts | None = None, **options: object) -> DataFrame:
+    """The report of all data tests of a build, on staging stored for them in its folder.
+
+    ``row_counts`` are those of the models that were counted while they were stored.
+    """
+    counts = dict(row_counts or {})
+    stored = store_tables(checks.narrow_staging(models["stg_posts"], models["stg_comments"]), folder, counts, "tested_")
+    return checks.report({**models, **stored}, row_counts=counts, **options)
 
 
 STORED = (

@@ -79,3 +79,11 @@ def land_comments(raw: DataFrame, loaded_at: str | None = None) -> DataFrame:
 def with_created_month(landed: DataFrame) -> DataFrame:
     """Add the storage partition: the month of creation."""
     return landed.withColumn("created_month", month_of(F.col("created_utc")))
+
+
+def with_fields(landed: DataFrame) -> DataFrame:
+    """Add ``fields``, the raw object as a VARIANT: parsed once, read by path without parsing again.
+
+    It holds the fields that landing doesn't know, too. Null where ``raw`` is no JSON.
+    """
+    return landed.withColumn("fields", F.try_parse_json("raw"))
