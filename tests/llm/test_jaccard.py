@@ -126,3 +126,27 @@ def test_query_against_all_pairs(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     got = {r.doc_id: r.component_id for r in QUERIES["op2_ngram_jaccard_join"](spark, folder).collect()}
     assert got == plain.similar_groups(docs, 3, 90)
+
+
+def test_a_key_of_many_sets_is_sent_once_and_connects_them():
+    random = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(random.integers(1, 12))
+        sets = np.sort(random.integers(0, n, int(random.integers(0, 30))))
+        keys = random.integers(0, 6, len(sets)).astype(np.uint64)
+        short = random.permutation(100)[:n].astype(np.int64)
+
+        def linked(keys, sets):
+            root = list(range(n))
+            for _ in range(n):
+                for k in set(keys.tolist()):
+                    own = [int(s) for s in sets[keys == k]]
+                    least = min(root[s] for s in own)
+                    for s in own:
+                        root[s] = least
+            return root
+
+        few, own = jaccard.one_of_each(keys, sets, short)
+        assert linked(few, own) == linked(keys, sets) and (np.diff(own) >= 0).all()
+        given = np.isin(few, keys)
+        assert len(np.unique(few[given])) == given.sum() == len(np.unique(keys))

@@ -357,13 +357,34 @@ def _keyed(k: int, percent: int, common: np.ndarray):
                 if not len(own):
                     continue
                 keys, sets = part_keys(values, np.concatenate([[0], np.cumsum(own)]), SizeClasses(percent, int(own.max())), common)
+                short = marks[new, 0].copy().view(np.int64)
+                keys, sets = one_of_each(keys, sets, short)
                 cuts = np.searchsorted(sets, np.arange(len(own) + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(marks[new, 0].copy().view(np.int64)), lists], names=["short", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(short), lists], names=["short", "keys"])
 
     return parts
 
 
+def one_of_each(keys: np.ndarray, sets: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their sets, by sets, with each key kept at one set only: that of the smallest ``short``.
+
+    The other sets that had it are tied to this one by a key of their own for the two, so that the
+    same sets are connected, and a key that very many texts have leaves a task once for many of them.
+    """
+    order = np.lexsort((short[sets], keys))
+    keys, sets = keys[order], sets[order]
+    first = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    head = sets[first][np.cumsum(first) - 1]
+    tied = np.unique(np.column_stack([sets, head])[~first & (sets != head)], axis=0)
+    low, high = short[tied[:, 1]].view(np.uint64), short[tied[:, 0]].view(np.uint64)
+    own = textkit.mix64(textkit.mix64(low) * np.uint64(3) + high)
+    keys = np.concatenate([keys[first], own, own])
+    sets = np.concatenate([sets[first], tied[:, 0], tied[:, 1]])
+    order = np.argsort(sets, kind="stable")
+    return keys[order], sets[order]
+
+
 def common_bins(signed: DataFrame, total: int) -> np.ndarray:
     """The bins of shingles that about ``COMMON_SHARE`` of the texts hold: a table of fixed size.
 
@@ -494,7 +515,7 @@ def near_groups(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text:
     members = classes.join(groups, F.col("short") == F.col("node")).select("digest", "row_key", "n", "grp")
     members = stored(members, "jaccard-members")
     placed = stored(_placed(members, percent), "jaccard-placed")
-    texts = rows.select("row_key", "__text").join(small(placed.drop("n")), "row_key").withColumn("head", F.col("digest"))
+    texts = rows.select("row_key", "__text").join(small(placed), "row_key").withColumn("head", F.col("digest"))
     heads = stored(_joined(texts.withColumn("block", F.concat_ws(":", "grp", "band", "part")), k, percent), "jaccard-heads")
     found = _moved(placed.select("digest", F.col("digest").alias("head")), heads)
 
@@ -502,7 +523,7 @@ def near_groups(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text:
         # groups of several blocks: one text per component found so far, then the pairs of blocks
         big = stored(_moved(texts.where("wide").dropDuplicates(["digest"]), heads), "jaccard-wide")
         one = big.where("digest = head")
-        fewer = one.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("again"))
+        fewer = one.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("again"))
         bridged = one.join(fewer, "grp").withColumn("block", F.concat_ws(":", "grp", F.pmod(F.xxhash64("digest"), F.col("again"))))
         bridges = stored(_joined(bridged, k, percent), "jaccard-bridges")
         big = _moved(big, bridges)
