@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.session import new_folder, ship_package
 
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -20,6 +24,23 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def trimmed(function: Callable) -> Callable:
+    """A task's work on batches that gives the memory it no longer uses back to the system.
+
+    Workers are kept for later tasks, and what they have freed would stay with them.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+                trim(0)
+
+    return run
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: a cut of the lineage that survives executors."""
     path = new_folder(df.sparkSession, name)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import prepare, stored, unused
+from trendloom.llm.common import prepare, stored, trimmed, unused
 from trendloom.llm.components import components
 
 # Sets of one size class differ in size by up to this percentage of the smaller one.
@@ -478,7 +478,7 @@ def _joined(rows: DataFrame, k: int, percent: int) -> DataFrame:
     """Rows of ``block``, ``digest``, ``__text`` and ``head``, the component a text is known to be in: pairs
     ``a``, ``b`` of a head and the smallest head that its block links it with, if that is another one."""
     placed = rows.select("block", "digest", "__text", "head").repartition("block").sortWithinPartitions("block", "digest")
-    return placed.mapInArrow(_block_heads(k, percent), "a binary, b binary")
+    return placed.mapInArrow(trimmed(_block_heads(k, percent)), "a binary, b binary")
 
 
 def _moved(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -500,12 +500,12 @@ def near_groups(docs: DataFrame, k: int, percent: int, id: str = "doc_id", text:
     rows = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"), F.col(f"`{id}`").alias("__id"), row_key(id, text).alias("row_key"))
     id_type = rows.schema["__id"].dataType.simpleString()
     kinds = f"__id {id_type}, row_key binary, n long, short long, digest binary, bin long, times long"
-    found = stored(rows.mapInArrow(_signed(k), kinds), "jaccard-sets")
+    found = stored(rows.mapInArrow(trimmed(_signed(k)), kinds), "jaccard-sets")
     signed = found.where("bin IS NULL").drop("bin", "times")
 
     # candidate groups
     common = common_bins(found, signed.count())
-    keyed = rows.select("__text").mapInArrow(_keyed(k, percent, common), "short long, keys array<long>").select("short", F.explode("keys").alias("key"))
+    keyed = rows.select("__text").mapInArrow(trimmed(_keyed(k, percent, common)), "short long, keys array<long>").select("short", F.explode("keys").alias("key"))
     first = F.expr("min(short) OVER (PARTITION BY key ORDER BY short ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     meet = keyed.withColumn("head", first).where("head != short").select("short", "head").distinct()
     groups = stored(components(meet, "short", "head").withColumnRenamed("root", "grp"), "jaccard-groups")

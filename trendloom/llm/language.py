@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import in_fold, prepare
+from trendloom.llm.common import in_fold, prepare, trimmed
 
 FOLDS, HELD = 4, 2
 BITS = 13
@@ -122,7 +122,7 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(sums[seen], total))], names=["bin", "n"])
 
-    found = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "bin long, n long")
+    found = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(trimmed(count), "bin long, n long")
     rows = found.groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     sums = np.zeros(BINS, dtype=np.int64)
     inner = rows[rows["bin"] >= 0]
@@ -225,7 +225,7 @@ def train(docs: DataFrame, learn: Column | None = None, id: str = "doc_id", text
             arrays = [batch.column(1), batch.column(2), pa.array(bins, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "draw", "bins", "x"])
 
-    found = drawn.select("__text", "__lang", draw.alias("draw")).mapInArrow(featurise, "lang string, draw long, bins array<int>, x array<float>")
+    found = drawn.select("__text", "__lang", draw.alias("draw")).mapInArrow(trimmed(featurise), "lang string, draw long, bins array<int>, x array<float>")
     best = Window.partitionBy("lang").orderBy("draw", "bins")
     got = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).orderBy("lang", "r").toPandas()
     place = {name: i for i, name in enumerate(languages)}
@@ -272,7 +272,7 @@ def predicted(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(names, pa.string()), pa.array(scores)], names=["__id", "lang_pred", "score"])
 
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
-    out = rows.mapInArrow(predict, f"__id {rows.schema['__id'].dataType.simpleString()}, lang_pred string, score double")
+    out = rows.mapInArrow(trimmed(predict), f"__id {rows.schema['__id'].dataType.simpleString()}, lang_pred string, score double")
     return out.withColumnRenamed("__id", id)
 
 
@@ -294,4 +294,4 @@ def keep_known(docs: DataFrame, model: Model, text: str = "text", at_least: floa
                 kept = np.concatenate([has_letter(texts, chunk) for chunk in textkit.chunks(texts)] or [np.zeros(0, bool)])
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(trimmed(keep), docs.schema)

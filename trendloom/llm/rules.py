@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import docstats, textkit
-from trendloom.llm.common import in_fold, labelled_sample, prepare
+from trendloom.llm.common import in_fold, labelled_sample, prepare, trimmed
 
 # Most labelled rows that training reads, about.
 SAMPLE = 8000
@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
     rows = rows.join(F.broadcast(chosen), "__id").select("__text", "__id", "__label", "__weight")
     id_type = chosen.schema["__id"].dataType.simpleString()
-    found = rows.mapInArrow(_statistics_of, f"__id {id_type}, __label int, __weight double, __x array<double>")
+    found = rows.mapInArrow(trimmed(_statistics_of), f"__id {id_type}, __label int, __weight double, __x array<double>")
     one = found.groupBy("__id").agg(F.min(F.struct("__x", "__label", "__weight")).alias("r")).select("__id", "r.*")
     got = one.orderBy("__id").toPandas()
     x = np.array(got["__x"].tolist()).reshape(len(got), len(docstats.RATIOS))
@@ -164,7 +164,7 @@ def judged(docs: DataFrame, forest: Forest, id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{id}`").alias("__id"))
     counts = ", ".join(f"{c} long" for c in docstats.COUNTS)
     id_type = rows.schema["__id"].dataType.simpleString()
-    out = rows.mapInArrow(judge, f"__id {id_type}, {counts}, base_failed boolean, kept boolean, score double")
+    out = rows.mapInArrow(trimmed(judge), f"__id {id_type}, {counts}, base_failed boolean, kept boolean, score double")
     return out.withColumnRenamed("__id", id)
 
 
@@ -179,4 +179,4 @@ def keep_good(docs: DataFrame, forest: Forest, text: str = "text") -> DataFrame:
             if verdicts:
                 yield batch.filter(pa.array(np.concatenate(verdicts)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(trimmed(keep), docs.schema)

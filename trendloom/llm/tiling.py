@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm import textkit
-from trendloom.llm.common import prepare, stored, unused
+from trendloom.llm.common import prepare, stored, trimmed, unused
 from trendloom.llm.jaccard import row_key, small
 
 SHORTEST = 5
@@ -325,7 +325,7 @@ def contaminated(
     item_texts = items.select("item_key", F.col("__text").alias("__item_text")).dropDuplicates(["item_key"])
     joined = pairs.join(texts, "row_key").join(item_texts, "item_key").select("__text", "__item_text", "__id", "__item", "row_key")
     counts = "n_tiles long, longest_tile long, covered_words long, item_words long"
-    tiled = joined.mapInArrow(_tile(shortest, percent), f"__id {id_type}, __item {item_type}, row_key binary, {counts}")
+    tiled = joined.mapInArrow(trimmed(_tile(shortest, percent)), f"__id {id_type}, __item {item_type}, row_key binary, {counts}")
     return tiled.select(
         F.col("__id").alias(id), F.col("__item").alias(item), "n_tiles", "longest_tile", "covered_words", "item_words",
         (F.col("covered_words") / F.col("item_words")).alias("coverage"), "row_key",
