@@ -17,7 +17,10 @@ from trendloom.sources import raw_files, tables
 from trendloom.sources.landing import land_posts, with_created_month
 
 FOLDER = "/root/testdata/sf0.001"
-LAZY = [name for name in QUERIES if name not in ("mart_chain", "dq_report", "stream_day_files") and "_from_" not in name]
+# read day files as captured, and match thousands of terms, in Python workers
+BY_WORKERS = ("scan_raw_verbatim", "text_mentions_large")
+STORED_FIRST = ("mart_chain", "dq_report", "dq_no_author_columns", "stream_day_files", "stream_recaptured_day", "marts_incremental", "flair_mart_incremental")
+LAZY = [name for name in QUERIES if name not in (*STORED_FIRST, *BY_WORKERS) and "_from_" not in name]
 
 
 def plan(df) -> str:
