@@ -140,3 +140,30 @@ def test_only_plain_phrases_are_screened():
     assert phrases("c\\+\\+") is None
     assert phrases("two  spaces") is None
     assert "(?i)" in whole_word("spark")
+
+
+ODD_PATTERNS = [
+    "th[ae]t?", r"\w{2,}ing", "é[a-z]+", "une?", r"[a-z]+\..the", r"\.net|net", "x?ab", "a|(b|c)", "a{0,2}b", "a{1,2}b", "(ab)c",
+    "a|", "[^a]b", "[.-]x|-y", "[a-é]x", r"a|\|b", "[|]a|b", r"\d+|-\w", "[a[b]]c", r"\Qa|b\E", "_a", "[0-9a-f]b|c", " b|é",
+]
+
+
+def test_a_regex_looks_at_one_character_before_it_looks_around():
+    starts = {p: whole_word(p).split("(?:" + p)[0].removeprefix("(?i)").replace(text_module.BOUNDARY, "B") for p in ODD_PATTERNS}
+    word = f"(?<!{text_module.WORD})"
+    assert starts["th[ae]t?"] == f"(?=t){word}" and starts[r"\w{2,}ing"] == rf"(?=\w){word}"
+    assert starts["é[a-z]+"] == "(?=é)B" and starts[r"\.net|net"] == r"(?=[\.n])B" and starts["[.-]x|-y"] == "(?=-|[.-])B"
+    assert {p for p, s in starts.items() if s == "B"} == {"x?ab", "a|(b|c)", "a{0,2}b", "(ab)c", "a|", "[a[b]]c", r"\Qa|b\E"}
+    assert any_term_regex([Term("a", "x", "of|the"), Term("b", "x", "on")]).startswith("(?i)(?=[ot])")
+
+
+def test_looking_at_the_first_character_changes_no_match(spark):
+    texts = random_texts(["THAT", "tha", "sing", "ing", "éa", "Un", "une", "x.\nthe", ".net", "aab", "ab", "c", "-x", "-y", "|b", "1a", "_a", "ſ", "K", "a|b", "éx"], 400)
+    rows = spark.createDataFrame([(x,) for x in texts], "text string")
+    for how in ("(?s)", ""):
+        plain = [F.regexp_replace("text", f"{how}(?i){text_module.BOUNDARY}(?:{p}){text_module.BOUNDARY}", "#") for p in ODD_PATTERNS]
+        ahead = [F.regexp_replace("text", how + whole_word(p), "#") for p in ODD_PATTERNS]
+        wrong = rows.agg(*[F.count_if(a != b) for a, b in zip(ahead, plain, strict=True)]).first()
+        changed = rows.agg(*[F.count_if(a != F.col("text")) for a in ahead]).first()
+        assert [p for p, n in zip(ODD_PATTERNS, wrong, strict=True) if n] == []
+        assert sum(n > 0 for n in changed) >= 15

@@ -10,6 +10,9 @@ can occur at all, then ``contains`` asks it for one term, and only then its rege
 screens can only let too much through, so the result stays exact. Terms with regex syntax
 have no screen and run beside the groups; they don't slow the others down.
 
+A regex first looks at one character, wherever it is known what a match must begin with: the
+lookarounds of a boundary cost several times as much at each place of a text.
+
 In a term's pattern ``.`` takes line breaks too; in the phrases it excludes it doesn't.
 """
 
@@ -33,6 +36,13 @@ BOUNDARY = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 # exclusion (its neighbours are never word characters) cannot create a phrase.
 _PHRASE = re.compile(r"[a-z0-9_]+(?:[ -][a-z0-9_]+)*")
 
+# The first piece of a regex that no match can do without: a character, \w, \d or a plain class.
+_FIRST = re.compile(r"(?:[^.^$*+?{}()\[\]|\\]|\\[wd]|\\[^0-9A-Za-z]|\[\^?[^\[\]\\&^]+\])(?![?*]|\{(?![1-9]))")
+_WORDLY = re.compile(r"[0-9A-Za-z_]|\\[wd]|\[(?:a-z|0-9|[0-9a-z_](?!-))+\]")
+_PIECE = re.compile(r"\\.|\[(?:\\.|[^\]\\])*\]|.", re.DOTALL)
+# quoted text, and classes that hold classes, cannot be cut into pieces this way
+_NO_PIECES = re.compile(r"\\[QE]|\[[^\]]*\[|\[\^?\]|&&")
+
 # Terms that share a screen and an array in the plan; a dictionary of any size is a list of such groups.
 GROUP = 64
 
@@ -52,11 +62,36 @@ def phrases(pattern: str) -> list[str] | None:
     return alternatives if all(_PHRASE.fullmatch(a) for a in alternatives) else None
 
 
+def first_pieces(pattern: str) -> list[str] | None:
+    """What the matches of the pattern begin with, a piece per alternative at most; None if that isn't plain to see."""
+    if _NO_PIECES.search(pattern):
+        return None
+    starts, depth = [""], 0
+    for piece in _PIECE.findall(pattern):
+        depth += (piece == "(") - (piece == ")")
+        if piece == "|" and not depth:
+            starts.append("")
+        else:
+            starts[-1] += piece
+    found = [_FIRST.match(start) for start in starts]
+    return sorted({f.group() for f in found}) if all(found) else None
+
+
+def _ahead(pieces: list[str]) -> str:
+    """Lookahead for one of the pieces, as one class if that can be written."""
+    if len(pieces) == 1 or any(p.startswith("[") for p in pieces):
+        return f"(?={'|'.join(pieces)})"
+    return f"(?=[{''.join(p if p.isalnum() or p.startswith(chr(92)) else chr(92) + p for p in pieces)}])"
+
+
 def whole_word(pattern: str) -> str:
     """Regex for the pattern between two ASCII word boundaries, in any ASCII letter case."""
-    if phrases(pattern):
-        return f"(?i)(?<!{WORD})(?:{pattern})(?!{WORD})"
-    return f"(?i){BOUNDARY}(?:{pattern}){BOUNDARY}"
+    first = first_pieces(pattern)
+    ahead = _ahead(first) if first else ""
+    # a match that begins with a word character has a boundary before it if no other precedes
+    before = f"(?<!{WORD})" if first and all(_WORDLY.fullmatch(p) for p in first) else BOUNDARY
+    after = f"(?!{WORD})" if phrases(pattern) else BOUNDARY
+    return f"(?i){ahead}{before}(?:{pattern}){after}"
 
 
 def across_lines(regex: str) -> str:
@@ -114,7 +149,7 @@ def any_term_regex(terms: Sequence[Term]) -> str:
         for word in screenable(term):
             by_first_letter.setdefault(word[0], []).append(word[1:])
     branches = [f"{first}(?:{'|'.join(rest)})" for first, rest in by_first_letter.items()]
-    return f"(?i)(?<!{WORD})(?:{'|'.join(branches)})"
+    return f"(?i){_ahead(sorted(by_first_letter))}(?<!{WORD})(?:{'|'.join(branches)})"
 
 
 class Searched(NamedTuple):
