@@ -345,12 +345,17 @@ def manifest_diff_back(spark: SparkSession, folder: str) -> DataFrame:
 # --- staging ------------------------------------------------------------------------
 
 
-def _posts(spark: SparkSession, folder: str) -> DataFrame:
-    return staging.clean_posts(t.landed_posts(spark, folder), t.SALT)
+def _posts(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    return staging.clean_posts(t.landed_posts(spark, folder, lines), t.SALT)
 
 
-def _comments(spark: SparkSession, folder: str) -> DataFrame:
-    return staging.clean_comments(t.landed_comments(spark, folder), t.SALT)
+def _comments(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    return staging.clean_comments(t.landed_comments(spark, folder, lines), t.SALT)
+
+
+def _stored_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest lines, found once for posts and comments that are written by jobs of their own."""
+    return tables.overwrite_table(t.current_lines(spark, folder), new_folder(spark, "lines"))
 
 
 @query
@@ -760,10 +765,11 @@ def freshness_gate(spark: SparkSession, folder: str) -> DataFrame:
 # --- the whole chain ----------------------------------------------------------------
 
 
-def _stored_models(spark: SparkSession, folder: str, row_counts: checks.RowCounts | None = None) -> dict[str, DataFrame]:
-    return builds.store_models(
-        _matched_posts(spark, folder), _matched_comments(spark, folder), t.PART_TERMS, new_folder(spark, "models"), row_counts=row_counts
-    )
+def _stored_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    lines = _stored_lines(spark, folder)
+    posts = facts.match_posts(_posts(spark, folder, lines), t.PART_TERMS)
+    comments = facts.match_comments(_comments(spark, folder, lines), t.PART_TERMS)
+    return builds.store_models(posts, comments, t.PART_TERMS, new_folder(spark, "models"))
 
 
 @query
@@ -776,10 +782,12 @@ def mart_chain(spark: SparkSession, folder: str) -> DataFrame:
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     """All data tests over the stored models; those on single rows are counted as the models are written."""
     row_counts: checks.RowCounts = {}
+    lines = _stored_lines(spark, folder)
+    path = new_folder(spark, "models")
+    staged = builds.store_staging(_posts(spark, folder, lines), _comments(spark, folder, lines), t.PART_TERMS, path, row_counts)
     models = {
-        "stg_posts": _posts(spark, folder),
-        "stg_comments": _comments(spark, folder),
+        **staged,
         "tools": terms.term_frame(spark, t.PART_TERMS),
-        **_stored_models(spark, folder, row_counts),
+        **builds.store_models(*facts.matched_of(staged), t.PART_TERMS, path, row_counts=row_counts),
     }
     return builds.tested(models, new_folder(spark, "tested"), row_counts, expected_terms=["Hot Ring", "Sprocket"])

@@ -95,13 +95,14 @@ def current_lines(spark: SparkSession, folder: str) -> DataFrame:
     return latest_by_key(lines, LINE_KEYS, [F.col(c).desc() for c in LINE_ORDER])
 
 
-def landed_comments(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as landed comments; the part name is the text.
+def landed_comments(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """Line items as landed comments; the part name is the text. ``lines`` are the newest, if stored.
 
     The posts join drops lines without an order; saying so here too makes the newest lines one
     subplan, which a query over posts and comments then shuffles once.
     """
-    lines = current_lines(spark, folder).where(F.col("l_orderkey").isNotNull())
+    lines = current_lines(spark, folder) if lines is None else lines
+    lines = lines.where(F.col("l_orderkey").isNotNull())
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     post = F.concat(F.lit(fv.POST_PREFIX), F.col("l_orderkey").cast("string"))
     first_reply = F.concat(F.lit(fv.COMMENT_PREFIX), F.col("l_orderkey").cast("string"), F.lit("-1"))
@@ -124,13 +125,13 @@ def landed_comments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def landed_posts(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as landed posts; first and last line give title and body.
+def landed_posts(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """Orders as landed posts; first and last line give title and body. ``lines`` are the newest, if stored.
 
     The lines are brought down to two part keys per order before any name is joined.
     """
     ends = (
-        current_lines(spark, folder)
+        (current_lines(spark, folder) if lines is None else lines)
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.min_by("l_partkey", "l_linenumber").alias("first_part"),

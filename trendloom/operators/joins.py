@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.functions.text import Term
+from trendloom.operators.quality import rows_per_value
 
 
 def left_join_defaults(left: DataFrame, right: DataFrame, on: Sequence[str], defaults: dict[str, Any]) -> DataFrame:
@@ -38,10 +39,11 @@ def with_membership(df: DataFrame, key: str, members: DataFrame, flag: str) -> D
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child keys without a parent, and how many rows carry each; a NULL key is no orphan.
 
-    Counting first leaves one row per key, so a parent with very many children is not skewed.
+    Counting first leaves one row per key, so a parent with very many children is not skewed; keys of
+    both sides are counted as in ``unique``, which shares its shuffle.
     """
-    per_key = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("value")).agg(F.count("*").alias("failures"))
-    return per_key.join(parent.select(F.col(parent_key).alias("value")), "value", "left_anti")
+    per_key = rows_per_value(child, key).withColumnRenamed("rows", "failures")
+    return per_key.join(rows_per_value(parent, parent_key).select("value"), "value", "left_anti")
 
 
 def never_found(df: DataFrame, column: str, expected: Sequence[str]) -> DataFrame:

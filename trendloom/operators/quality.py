@@ -34,6 +34,16 @@ def grain_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def rows_per_value(df: DataFrame, column: str) -> DataFrame:
+    """Each value that is not NULL as ``value``, with its ``rows``.
+
+    The filter keeps the counts in the plan where only the values are used: then this is the shuffle of
+    ``unique``, and Spark runs one for all tests on the column.
+    """
+    per_value = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
+    return per_value.where("rows > 0")
+
+
 def unaccepted(column: str, values: Sequence[str]) -> Column:
     """Neither NULL nor in the list."""
     return F.col(column).isNotNull() & ~F.col(column).isin(*values)

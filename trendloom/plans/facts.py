@@ -45,6 +45,19 @@ def match_comments(comments: DataFrame, terms: Iterable[Term]) -> DataFrame:
     return found.select(*COMMENT_COLUMNS, "mentions")
 
 
+def match_staged_comments(comments: DataFrame, terms: Iterable[Term]) -> DataFrame:
+    """Every staged comment with its mentions, and what the data tests read of it: no text, no author."""
+    found = with_mentions(comments, F.col("body"), terms)
+    tested = ["is_automoderator", "is_body_removed", "later_removal_type", F.left("body", F.lit(0)).alias("body")]
+    return found.select(*COMMENT_COLUMNS, *tested, "mentions")
+
+
+def matched_of(staged: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Matched posts and human comments from staging that was stored with its mentions."""
+    posts, comments = staged["stg_posts"], human_comments(staged["stg_comments"])
+    return posts.select(*POST_COLUMNS, "mentions"), comments.select(*COMMENT_COLUMNS, "mentions")
+
+
 def match_each_post(versions: DataFrame, terms: Iterable[Term]) -> DataFrame:
     """Every raw version matched where it is read: narrow rows, without text, nothing shuffled."""
     staged = clean_posts(versions, "", *NEWEST_FIRST)

@@ -43,6 +43,18 @@ def store_tables(tables: dict[str, DataFrame], folder: str, row_counts: checks.R
         return dict(zip(tables, pool.map(store, tables), strict=True))
 
 
+def store_staging(
+    posts: DataFrame, comments: DataFrame, terms: Iterable[Term], folder: str, row_counts: checks.RowCounts | None = None
+) -> dict[str, DataFrame]:
+    """Store staged posts and comments with their mentions, so that facts and data tests share one pass over the text.
+
+    ``facts.matched_of`` gives what ``store_models`` takes.
+    """
+    terms = check_terms(terms)
+    staged = {"stg_posts": facts.match_posts(posts, terms), "stg_comments": facts.match_staged_comments(comments, terms)}
+    return store_tables(staged, folder, row_counts)
+
+
 def store_models(
     matched_posts: DataFrame,
     matched_comments: DataFrame,
@@ -174,11 +186,14 @@ def rebuild(
 def tested(models: dict[str, DataFrame], folder: str, row_counts: checks.RowCounts | None = None, **options: object) -> DataFrame:
     """The report of all data tests of a build, on staging stored for them in its folder.
 
-    ``row_counts`` are those of the models that were counted while they were stored.
+    ``row_counts`` are those of the models that were counted while they were stored; staging that was is
+    not stored again.
     """
     counts = dict(row_counts or {})
-    stored = store_tables(checks.narrow_staging(models["stg_posts"], models["stg_comments"]), folder, counts, "tested_")
-    return checks.report({**models, **stored}, row_counts=counts, **options)
+    staging = checks.narrow_staging(models["stg_posts"], models["stg_comments"])
+    if lazy := {name: df for name, df in staging.items() if name not in counts}:
+        staging |= store_tables(lazy, folder, counts, "tested_")
+    return checks.report({**models, **staging}, row_counts=counts, **options)
 
 
 STORED = (
