@@ -227,15 +227,18 @@ def listing_diff(spark: SparkSession, folder: str) -> DataFrame:
     again = f"{base}/source{base.split(':', 1)[-1]}/source"
     events = t.table(spark, folder, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").cast("string"))
     for name, rows in ((again, events), (f"{base}/target", events.where("event_type <> 'click'"))):
-        rows.repartition(1, "event_type", "day").write.partitionBy("event_type", "day").text(name)
+        rows.hint("rebalance", "event_type", "day").write.partitionBy("event_type", "day").text(name)
+
+    inner = F.startswith("key", F.lit(again.removeprefix(f"{base}/source/") + "/event_type="))
+
     def folders(files: DataFrame) -> DataFrame:
-        """Part files have a new name in each write: a folder stands for its file."""
-        return files.select(F.regexp_extract("key", "(event_type=.*)/", 1).alias("key"), "size", F.col("key").alias("path"))
+        """Part files have a new name in each write, and a large folder has several: a folder stands for its files."""
+        by_folder = files.groupBy(F.regexp_extract("key", "(event_type=.*)/", 1).alias("key"))
+        return by_folder.agg(F.sum("size").alias("size"), F.bool_and(inner).alias("below_itself"))
 
     source = folders(reconcile.list_files(spark, f"{base}/source", "*.txt"))
     target = folders(reconcile.list_files(spark, f"{base}/target", "*.txt"))
-    inner = F.startswith("path", F.lit(again.removeprefix(f"{base}/source/") + "/event_type=")).alias("below_itself")
-    return reconcile.manifest_diff(source, target).join(source.select("key", inner), "key").select("key", "action", "below_itself")
+    return reconcile.manifest_diff(source, target).join(source.select("key", "below_itself"), "key").select("key", "action", "below_itself")
 
 
 @query
